@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factorloom.functions.common import key_lower, key_upper, read_table
 from factorloom.operators.nearest_time import nearest_time_join
 from factorloom.operators.orphans import orphan_references
+from factorloom.operators.spikes import Measure, implausible_values
 from factorloom.operators.rolling import trailing_totals
 
 HOUR_US = 3_600_000_000
@@ -77,6 +78,25 @@ _P2 = " UNION ALL ".join(
 )
 
 
+# 3. implausible measurements
+MEASURES = {"c": Measure("ratio", 0.0, True), "v": Measure("factor", 0.0, False), "net_return": Measure("size", -1.0, False)}
+
+
+def p3_reasons(spark: SparkSession, d: str) -> DataFrame:
+    bars, returns = read_table(spark, d, "daily_market_summary"), read_table(spark, d, "backtest_returns")
+    pair = lambda f: F.struct(F.lit(f).alias("measure"), F.col(f).alias("value"))
+    of_bars = bars.select(key_upper("ticker").alias("source"), F.col("trade_date").alias("day"), F.lit(False).alias("idle"), F.explode(F.array(pair("c"), pair("v"))).alias("m"))
+    of_returns = returns.select(F.col("strategy_id").alias("source"), F.col("trade_date").alias("day"), (F.col("holdings_count") == 0).alias("idle"), pair("net_return").alias("m"))
+    records = of_bars.unionByName(of_returns).select("m.*", "source", "day", "idle")
+    found = implausible_values(records, MEASURES)
+    table = F.when(F.col("measure") == "net_return", F.lit("backtest_returns")).otherwise(F.lit("daily_market_summary"))
+    return found.select(table.alias("table_name"), F.col("source").alias("source_key"), F.col("day").alias("trade_date"), F.col("measure").alias("field"), "value", "reason")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_reasons(spark, d).select("table_name", "source_key", "trade_date", "field").distinct()
+
+
 # 5. the nearest bar of each factor value
 def p5_nearest_bars(spark: SparkSession, d: str) -> DataFrame:
     lake, bars = read_table(spark, d, "factor_lake"), read_table(spark, d, "daily_market_summary")
@@ -133,6 +153,8 @@ SELECT ticker, day, age, sum(volume) OVER w7 AS volume_7, sum(volume) OVER w7 /
 FROM grid WINDOW w7 AS (PARTITION BY ticker ORDER BY day ROWS 6 PRECEDING), w30 AS (PARTITION BY ticker ORDER BY day ROWS 29 PRECEDING)"""
 
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_reasons": p3_reasons,
     "p2_found": p2_found,
     "p2_per_month": p2_per_month,
     "p5_found": p5_found,
