@@ -46,6 +46,11 @@ def group_count(df: DataFrame, bytes_each: int = 4 << 20, least: int = 16, most:
     return max(least, min(most, math.ceil(plan_bytes(df) / bytes_each)))
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df marked for broadcast if it has at most so many rows (they are counted), else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

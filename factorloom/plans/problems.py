@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import key_lower, key_upper, read_table
+from factorloom.functions.common import broadcast_if_small, key_lower, key_upper, read_table
 from factorloom.operators.nearest_time import nearest_time_join
 from factorloom.operators.orphans import orphan_references
+from factorloom.operators.times import normalise_times
 from factorloom.operators.spikes import Measure, implausible_values
 from factorloom.operators.rolling import trailing_totals
 
@@ -97,6 +98,19 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_reasons(spark, d).select("table_name", "source_key", "trade_date", "field").distinct()
 
 
+# 4. one instant per time
+def p4_times(spark: SparkSession, d: str) -> DataFrame:
+    raw = read_table(spark, d, "raw_times").select("record_id", "source", "time_column", "raw_value")
+    config = read_table(spark, d, "source_config").select(key_lower("source").alias("key"), "time_format", "timezone").dropDuplicates(["key"])
+    raw = raw.withColumn("key", key_lower("source")).join(broadcast_if_small(config), "key", "left")
+    out = normalise_times(raw, raw=F.col("raw_value"), time_format=F.col("time_format"), zone=F.col("timezone"))
+    return out.select("record_id", "source", "time_column", "time_form", "utc_micros")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_times(spark, d).filter("utc_micros is not null").select("record_id", "utc_micros")
+
+
 # 5. the nearest bar of each factor value
 def p5_nearest_bars(spark: SparkSession, d: str) -> DataFrame:
     lake, bars = read_table(spark, d, "factor_lake"), read_table(spark, d, "daily_market_summary")
@@ -153,6 +167,8 @@ SELECT ticker, day, age, sum(volume) OVER w7 AS volume_7, sum(volume) OVER w7 /
 FROM grid WINDOW w7 AS (PARTITION BY ticker ORDER BY day ROWS 6 PRECEDING), w30 AS (PARTITION BY ticker ORDER BY day ROWS 29 PRECEDING)"""
 
 QUERIES = {
+    "p4_found": p4_found,
+    "p4_times": p4_times,
     "p3_found": p3_found,
     "p3_reasons": p3_reasons,
     "p2_found": p2_found,
