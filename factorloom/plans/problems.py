@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorloom.functions.common import broadcast_if_small, key_lower, key_upper, read_table
+from factorloom.operators.drift import consistent_table, schema_history
 from factorloom.operators.nearest_time import nearest_time_join
 from factorloom.operators.orphans import orphan_references
 from factorloom.operators.times import normalise_times
@@ -15,6 +16,19 @@ from factorloom.operators.rolling import trailing_totals
 HOUR_US = 3_600_000_000
 
 
+# 1. schemas that drift between files
+def p1_changes(spark: SparkSession, d: str) -> DataFrame:
+    return schema_history(read_table(spark, d, "raw_files")).filter("change <> 'field'").drop("canonical")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_changes(spark, d).select("file_name", "change", "old_field", "new_field").distinct()
+
+
+def _p1_table(dataset: str):
+    return lambda spark, d: consistent_table(read_table(spark, d, "raw_files"), dataset)
+
+
 # 2. references to records that do not exist
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     registry, marks, runs, summary = (read_table(spark, d, f"factor_{t}") for t in ("registry", "watermark", "evaluation_runs", "evaluation_summary"))
@@ -167,6 +181,11 @@ SELECT ticker, day, age, sum(volume) OVER w7 AS volume_7, sum(volume) OVER w7 /
 FROM grid WINDOW w7 AS (PARTITION BY ticker ORDER BY day ROWS 6 PRECEDING), w30 AS (PARTITION BY ticker ORDER BY day ROWS 29 PRECEDING)"""
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_changes": p1_changes,
+    "p1_income_statement": _p1_table("income_statement"),
+    "p1_corp_dividends": _p1_table("corp_dividends"),
+    "p1_filing_risk_factors": _p1_table("filing_risk_factors"),
     "p4_found": p4_found,
     "p4_times": p4_times,
     "p3_found": p3_found,
