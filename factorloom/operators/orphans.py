@@ -52,11 +52,9 @@ def orphan_references(
 
     # references per key and period, added up to find the heavy keys
     per_period = r.groupBy("k", F.trunc("at", "month").alias("m")).count()
-    total = per_period.agg(F.sum("count").alias("total"))
-    heavy = (
-        per_period.groupBy("k").agg(F.sum("count").alias("n")).join(F.broadcast(total), F.col("n") >= F.greatest(F.col("total") * heavy_share, F.lit(1000))).select("k")
-    )
-    heavy_keys = [x.k for x in heavy.collect()]  # 1 / heavy_share rows at most
+    least = max(1000, heavy_share * r.count())
+    heavy = per_period.groupBy("k").agg(F.sum("count").alias("n")).filter(F.col("n") >= least)
+    heavy_keys = [x.k for x in heavy.select("k").collect()]  # 1 / heavy_share rows at most
     is_heavy = F.col("k").isin(heavy_keys) if heavy_keys else F.lit(False)
     lives_of_heavy = t.filter(is_heavy).limit(HEAVY_LIVES + 1)
     parts = []
