@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from factorloom.plans import problems
+from factorloom.plans import factor_queries, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLE_SQL = {**problems.ORACLE_SQL}
-FLAGSHIP = "p5_found"
+QUERIES = {**problems.QUERIES, **factor_queries.QUERIES}
+ORACLE_SQL = {**problems.ORACLE_SQL, **factor_queries.ORACLE_SQL}
+FLAGSHIP = "f_chain"
