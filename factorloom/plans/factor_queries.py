@@ -289,8 +289,8 @@ RSI = lambda d: [("ag", "gain", f"(1.0 / {d})"), ("al", "loss", f"(1.0 / {d})")]
 RS = "100 - 100 / (1 + ag / nullif(al, 0))"
 rec("ts_rsi", f"ts_rsi({C}, 10)", ema_sql(RSI(10), MOVE), RS)
 rec("ts_stochrsi", f"ts_stochrsi({C})", ema_sql(RSI(14), MOVE), f"100 * (x - min(x) {r(5)}) / nullif(max(x) {r(5)} - min(x) {r(5)}, 0)", f"{RS} AS x")
-FLOW = ", sum(CASE WHEN high - low > 1e-12 AND volume IS NOT NULL THEN ((close - low) - (high - close)) / (high - low) * least(volume, 100000) ELSE 0 END) " + ALL + " AS s, count(CASE WHEN high - low > 1e-12 AND volume IS NOT NULL AND close IS NULL THEN 1 END) " + ALL + " AS miss"
-rec("ts_adosc", f"ts_adosc({HLC}, min({V}, 100000))", ema_sql([("f", "CASE WHEN miss = 0 THEN s END", alpha(3)), ("g", "CASE WHEN miss = 0 THEN s END", alpha(10))], FLOW), "f - g")
+FLOW = ", sum(CASE WHEN high - low > 1e-12 AND volume IS NOT NULL THEN ((greatest(least(close, high), low) - low) - (high - greatest(least(close, high), low))) / (high - low) * least(volume, 100000) / 1000000 + 0 * close ELSE 0 END) " + ALL + " AS s, count(CASE WHEN high - low > 1e-12 AND volume IS NOT NULL AND close IS NULL THEN 1 END) " + ALL + " AS miss"
+rec("ts_adosc", f"ts_adosc(col(\"high\"), col(\"low\"), max(min({C}, col(\"high\")), col(\"low\")), min({V}, 100000) / 1000000)", ema_sql([("f", "CASE WHEN miss = 0 THEN s END", alpha(3)), ("g", "CASE WHEN miss = 0 THEN s END", alpha(10))], FLOW), "f - g")
 _ATR = f"""z AS (SELECT q.*, {TR} AS tr FROM q), seed AS (SELECT instrument, avg(tr) AS s, count(*) AS n FROM z WHERE rn <= 10 GROUP BY 1),
 e AS (SELECT z.*, s AS atr FROM z JOIN seed USING (instrument) WHERE rn = 10 UNION ALL
   SELECT z.*, (e.atr * 9 + z.tr) / 10 AS atr FROM e JOIN z ON z.instrument = e.instrument AND z.rn = e.rn + 1),
