@@ -90,8 +90,9 @@ def tranche_backtest(df: DataFrame, horizon: int, n: int) -> DataFrame:
     """timestamp, quantile, daily_return, nav of overlapping equal-weight tranches held horizon bars."""
     members = F.count("*").over(Window.partitionBy(TS, "quantile"))
     df = df.select(TS, "instrument", "quantile", "one_step_return", F.when(F.col("quantile").isNotNull(), 1 / members).alias("w"))
-    lags = [F.struct(F.lag("quantile", k).over(W()).alias("quantile"), F.lag("w", k).over(W()).alias("w")) for k in range(1, horizon + 1)]
-    held = df.select(TS, "one_step_return", F.explode(F.array(*lags)).alias("h")).select(TS, "one_step_return", "h.*")
+    signal = F.struct("quantile", "w")
+    df = df.select(TS, "one_step_return", *[F.lag(signal, k).over(W()).alias(f"_{k}") for k in range(1, horizon + 1)])
+    held = df.select(TS, "one_step_return", F.explode(F.array(*[f"_{k}" for k in range(1, horizon + 1)])).alias("h")).select(TS, "one_step_return", "h.*")
     held = held.filter(F.col("quantile").isNotNull() & F.col("one_step_return").isNotNull())
     out = held.groupBy(TS, "quantile").agg((F.sum(F.col("w") * F.col("one_step_return")) / F.sum("w")).alias("daily_return"))
     w = Window.partitionBy("quantile").orderBy(TS).rowsBetween(Window.unboundedPreceding, 0)

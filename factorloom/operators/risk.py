@@ -105,17 +105,27 @@ def _capped(v: np.ndarray, budget: float, cap: float) -> np.ndarray:
     """The point nearest v with entries in [0, cap] that sum to budget (or to all that cap allows)."""
     if not len(v) or budget >= cap * len(v):
         return np.full(len(v), cap if len(v) else 0.0)
-    lo, hi = v.min() - cap - budget, v.max()
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if np.clip(v - mid, 0, cap).sum() > budget else (lo, mid)
-    return np.clip(v - hi, 0, cap)
-
-
-def mean_variance(mu: np.ndarray, x: np.ndarray, cov: np.ndarray, delta: np.ndarray, side: np.ndarray, *, aversion: float, long_budget: float, short_budget: float, cap: float, steps: int = 2000) -> np.ndarray:
+    # the shift t for which sum(clip(v - t, 0, cap)) is budget: that sum is linear between breakpoints
+    up, top = np.sort(v)[::-1], np.sort(v - cap)[::-1]
+    at = np.sort(np.concatenate([up, top]))[::-1]
+    sums = []
+    for x in (up, top):
+        n = np.searchsorted(-x, -at, side="left")
+        sums.append(np.r_[0.0, np.cumsum(x)][n] - n * at)
+    total = sums[0] - sums[1]
+    k = int(np.searchsorted(total, budget))
+    if k == 0:
+        return np.clip(v - at[0], 0, cap)
+    k = min(k, len(at) - 1)
+    rise = total[k] - total[k - 1]
+    t = at[k] if rise <= 0 else at[k - 1] + (at[k] - at[k - 1]) * (budget - total[k - 1]) / rise
+    return np.clip(v - t, 0, cap)
+
+
+def mean_variance(mu: np.ndarray, x: np.ndarray, cov: np.ndarray, delta: np.ndarray, side: np.ndarray, *, aversion: float, long_budget: float, short_budget: float, cap: float, steps: int = 500) -> np.ndarray:
     """Weights maximising mu'w - aversion/2 (w'XFX'w + sum of w²δ) with signs, budgets per side and a cap per name.
 
-    Projected gradient; the sides of a date are given (+1 long, -1 short).
+    Accelerated projected gradient; the sides of a date are given (+1 long, -1 short).
     """
     w = np.zeros(len(mu))
 
@@ -129,12 +139,15 @@ def mean_variance(mu: np.ndarray, x: np.ndarray, cov: np.ndarray, delta: np.ndar
     w = project(w)
     scale = aversion * (np.linalg.norm(x @ np.linalg.cholesky(cov + 1e-15 * np.eye(len(cov))), 2) ** 2 + (delta.max() if len(delta) else 0.0))
     rate = 1.0 / scale if scale > 0 else 1.0
+    ahead, momentum = w, 1.0
     for _ in range(steps):
-        g = mu - aversion * (x @ (cov @ (x.T @ w)) + delta * w)
-        nxt = project(w + rate * g)
-        if np.abs(nxt - w).max(initial=0.0) < 1e-12:
-            break
-        w = nxt
+        g = mu - aversion * (x @ (cov @ (x.T @ ahead)) + delta * ahead)
+        nxt = project(ahead + rate * g)
+        if np.abs(nxt - w).max(initial=0.0) < 1e-11:
+            return nxt
+        faster = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
+        ahead = nxt + (momentum - 1) / faster * (nxt - w)
+        w, momentum = nxt, faster
     return w
 
 

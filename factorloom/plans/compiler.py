@@ -157,6 +157,7 @@ def run_kernels(df: DataFrame, calls: list[tuple[str, str, list[str], dict]], dr
     groups = group_count(df, bytes_each=32 << 20)
     keyed = df.withColumn("_g", F.pmod(F.xxhash64(INST), F.lit(groups)))
     order = [c for c in keyed.columns if c != "_g"]
+    functions = {k: kernels.KERNELS[k] for _, k, _, _ in calls}
 
     def run(table: pa.Table) -> pa.Table:
         table = table.select(order).sort_by([(INST, "ascending"), (TS, "ascending")])
@@ -182,7 +183,7 @@ def run_kernels(df: DataFrame, calls: list[tuple[str, str, list[str], dict]], dr
                 dense[c][row, col] = table[c].to_numpy()[at]
             for name, kernel_name, inputs, params in calls:
                 with np.errstate(all="ignore"):
-                    results[name][at] = kernels.KERNELS[kernel_name](*(dense[c] for c in inputs), **params)[row, col]
+                    results[name][at] = functions[kernel_name](*(dense[c] for c in inputs), **params)[row, col]
         out = table.select(rest)
         for name, *_ in calls:
             out = out.append_column(name, pa.array(results[name], from_pandas=True))
