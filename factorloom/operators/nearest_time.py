@@ -1,8 +1,8 @@
 """Pairing records of two tables by the nearest time of the same entity.
 
-Both tables are cut into cells of one entity and one time bucket; the right table's rows enter every
-cell within the tolerance of them. Cells are hashed into groups that are co-grouped as Arrow tables,
-and a vectorised binary search compares each left time with its two neighbours on the right.
+Both tables are cut into cells of one entity and one time range, the right one's overlapping by the
+neighbouring rows. Cells are hashed into groups that are co-grouped as Arrow tables, and a vectorised
+binary search compares each left time with its two neighbours on the right.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import group_count
+from factorloom.functions.common import broadcast_if_small, cut_lineage, group_count
 
 RESULT = "left_id long, right_id long, gap_us long"
 OUT = pa.schema([("left_id", pa.int64()), ("right_id", pa.int64()), ("gap_us", pa.int64())])
@@ -76,27 +76,45 @@ def nearest_time_join(
     the smallest id. An empty side gives an empty result. The arguments are column expressions, so
     clashing or additional column names of the tables don't matter.
 
-    A cell of more than cell_rows left rows is salted over several groups, each with the cell's
-    right rows; such cells are found by a count per cell before the join.
+    A cell is an entity and bucket_us of time. Its margin is the last right row before it and the
+    first after it, known from a table of cells, so no row is copied for the tolerance's sake. A cell
+    of more than cell_rows rows on either side is cut finer in time, and if its left rows still
+    crowd one moment, salted.
     """
-    width = bucket_us or max(2 * tolerance_us, 1) + (tolerance_us == 0)
-    l = left.select(left_id.cast("long").alias("id"), left_entity.alias("k"), F.unix_micros(left_time.cast("timestamp")).alias("t")).dropna()
-    r = right.select(right_id.cast("long").alias("id"), right_entity.alias("k"), F.unix_micros(right_time.cast("timestamp")).alias("t")).dropna()
-    l = l.withColumn("b", F.floor(F.col("t") / width))
-    low, high = (F.floor((F.col("t") + s * tolerance_us) / width) for s in (-1, 1))
-    r = r.withColumn("b", F.explode(F.sequence(low, high)))
-
-    # salts for the cells that are too large for one group; the list holds at most rows / cell_rows cells
-    crowded = l.groupBy("k", "b").count().filter(F.col("count") > cell_rows).select("k", "b", F.ceil(F.col("count") / cell_rows).alias("salts"))
-    n_crowded = crowded.limit(100_001).count()
-    if n_crowded:
-        if n_crowded <= 100_000:
-            crowded = F.broadcast(crowded)
-        l = l.join(crowded, ["k", "b"], "left").withColumn("s", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1)))).drop("salts")
-        r = r.join(crowded, ["k", "b"], "left").withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    width = bucket_us or max(2 * tolerance_us, 1)
+    side = lambda df, i, k, t: df.select(i.cast("long").alias("id"), k.alias("k"), F.unix_micros(t.cast("timestamp")).alias("t")).dropna()
+    l, r = side(left, left_id, left_entity, left_time), side(right, right_id, right_entity, right_time)
+    l, r = (x.withColumn("b", F.floor(F.col("t") / width)) for x in (l, r))
+    cells = cut_lineage(_cells(l, r, ["k", "b"]))  # one row per entity and bucket
+    most = F.greatest("nl", "nr")
+    crowded = cells.filter(most > cell_rows).select("k", "b", F.ceil(most / cell_rows).alias("cuts"))  # at most rows / cell_rows of them
+    if crowded.limit(1).count():
+        crowded = broadcast_if_small(crowded)
+        sub = F.coalesce(F.floor((F.col("t") - F.col("b") * width) * F.col("cuts") / width), F.lit(0))
+        l, r = (x.join(crowded, ["k", "b"], "left").withColumn("sub", sub) for x in (l, r))
+        fine = _cells(l.filter("cuts is not null"), r.filter("cuts is not null"), ["k", "b", "sub"])
+        cells = cells.join(crowded.select("k", "b"), ["k", "b"], "left_anti").withColumn("sub", F.lit(0).cast("long"))
+        cells = cut_lineage(cells.unionByName(fine)).withColumn("salts", F.greatest(F.ceil(F.col("nl") / cell_rows), F.lit(1)))
+        salts = broadcast_if_small(cells.filter("salts > 1").select("k", "b", "sub", "salts"))
+        l, r = (x.drop("cuts").join(salts, ["k", "b", "sub"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))) for x in (l, r))
     else:
-        l, r = (x.withColumn("s", F.lit(0).cast("long")) for x in (l, r))
+        l, r, cells = (x.withColumns({"sub": F.lit(0).cast("long"), "salts": F.lit(1).cast("long")}) for x in (l, r, cells))
 
+    by_time = Window.partitionBy("k").orderBy("b", "sub")
+    before = F.last("hi", ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("lo", ignorenulls=True).over(by_time.rowsBetween(1, Window.unboundedFollowing))
+    edge = lambda x, i: F.struct(x["t"].alias("t"), i.alias("id"))
+    margins = cells.select("k", "b", "sub", "salts", "nl", before.alias("p"), after.alias("n")).filter("nl > 0")
+    margins = margins.select("k", "b", "sub", "salts", F.explode(F.array(edge(F.col("p"), -F.col("p.neg")), edge(F.col("n"), F.col("n.id")))).alias("e")).select("k", "b", "sub", "salts", "e.*").filter("t is not null")
+    r = r.select("k", "b", "sub", "salts", "t", "id").unionByName(margins)
+    l = l.withColumn("s", F.pmod(F.xxhash64("id"), F.col("salts")))
+    r = r.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     groups = group_count(l)
-    l, r = (x.select(F.pmod(F.xxhash64("k", "b", "s"), F.lit(groups)).alias("g"), "id", "k", "t") for x in (l, r))
+    l, r = (x.select(F.pmod(F.xxhash64("k", "b", "sub", "s"), F.lit(groups)).alias("g"), "id", "k", "t") for x in (l, r))
     return l.groupBy("g").cogroup(r.groupBy("g")).applyInArrow(lambda a, b: _search(a, b, tolerance_us), RESULT)
+
+
+def _cells(l: DataFrame, r: DataFrame, keys: list[str]) -> DataFrame:
+    """Per cell the rows of either side, and the right side's first and last row (of ties the smallest id)."""
+    of_r = r.groupBy(*keys).agg(F.count("*").alias("nr"), F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", (-F.col("id")).alias("neg"))).alias("hi"))
+    return l.groupBy(*keys).agg(F.count("*").alias("nl")).join(of_r, keys, "full_outer").na.fill(0, ["nl", "nr"])

@@ -157,14 +157,19 @@ WHERE rn = 1 AND gap <= {16 * HOUR_US}"""
 
 
 # 6. trailing totals
-def p6_trailing(spark: SparkSession, d: str) -> DataFrame:
+def _trailing(spark: SparkSession, d: str) -> DataFrame:
     aggs = read_table(spark, d, "day_aggs")
     day = F.when(F.col("window_start") != 0, F.date_from_unix_date(F.floor(F.col("window_start") / 86_400_000_000_000).cast("int")))
     return trailing_totals(aggs, entity=key_upper("ticker"), day=day, volume=F.col("volume"), close=F.col("close"), latest_by=F.col("ingested_at")).withColumnRenamed("entity", "ticker")
 
 
+def p6_trailing(spark: SparkSession, d: str) -> DataFrame:
+    out = _trailing(spark, d)
+    return out.withColumns({c: F.round(c, 8) for c in out.columns if c.startswith("avg_")})
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    surge = p6_trailing(spark, d).filter("age >= 30 and 2 * volume_7 > volume_30")
+    surge = _trailing(spark, d).filter("age >= 30 and 2 * volume_7 > volume_30")
     return surge.select("ticker", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
@@ -176,8 +181,8 @@ bars AS (SELECT ticker, day, coalesce(volume, 0) AS volume, close FROM (SELECT *
 spans AS (SELECT ticker, min(day) AS first, max(day) AS last FROM bars GROUP BY 1),
 days AS (SELECT ticker, first, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS day FROM spans),
 grid AS (SELECT days.ticker, days.day, date_diff('day', first, days.day) + 1 AS age, coalesce(volume, 0) AS volume, close FROM days LEFT JOIN bars USING (ticker, day))
-SELECT ticker, day, age, sum(volume) OVER w7 AS volume_7, sum(volume) OVER w7 / least(age, 7) AS avg_volume_7, avg(close) OVER w7 AS avg_close_7,
-  sum(volume) OVER w30 AS volume_30, sum(volume) OVER w30 / least(age, 30) AS avg_volume_30, avg(close) OVER w30 AS avg_close_30
+SELECT ticker, day, age, sum(volume) OVER w7 AS volume_7, round(sum(volume) OVER w7 / least(age, 7), 8) AS avg_volume_7, round(avg(close) OVER w7, 8) AS avg_close_7,
+  sum(volume) OVER w30 AS volume_30, round(sum(volume) OVER w30 / least(age, 30), 8) AS avg_volume_30, round(avg(close) OVER w30, 8) AS avg_close_30
 FROM grid WINDOW w7 AS (PARTITION BY ticker ORDER BY day ROWS 6 PRECEDING), w30 AS (PARTITION BY ticker ORDER BY day ROWS 29 PRECEDING)"""
 
 QUERIES = {

@@ -53,7 +53,7 @@ def test_rejected(text):
 
 def test_plans_share_and_describe():
     plan = Plan({"a": 'rank(ts_mean(col("x"), 5))', "b": 'ts_mean(col("x"), 5) + 1'})
-    assert plan.explain().count("ts_mean(col") == 3 and len(plan.names) == 2  # one node, shown where it is used
+    assert len(plan.names) == 2 and "stage 2" in plan.explain()  # the average is one node
     n = compile_text('change_instrument(ts_mean(col("x"), 5), "y")')
     assert columns_of(n) == {"x", "y"} and lookback(n) == 5
     assert len(stubs.NAMES) == 107
@@ -216,7 +216,7 @@ def test_threshold_machine_and_equity(spark):
     p = tiny(spark, [(D[i], "A", v) for i, v in enumerate(s)], "signal double")
     assert values(single_asset.threshold_positions(p, shift=0), "target_position") == [0, 1, 1, 0, -1, 1, 0, 0]
     assert values(single_asset.threshold_positions(p), "target_position") == [0, 0, 1, 1, 0, -1, 1, 0]
-    bars = tiny(spark, [(D[i], "A", t, o, c) for i, (t, o, c) in enumerate([(1.0, 10, 10), (1.0, 10, 12), (0.0, 12, 12), (0.0, 15, 15)])], "target_position double, open double, close double")
+    bars = tiny(spark, [(D[i], "A", t, o, c) for i, (t, o, c) in enumerate([(1.0, 10.0, 10.0), (1.0, 10.0, 12.0), (0.0, 12.0, 12.0), (0.0, 15.0, 15.0)])], "target_position double, open double, close double")
     out = single_asset.single_asset_backtest(bars, start=100, commission=0, slippage=0)
     assert values(out, "equity") == [100.0, 120.0, 120.0, 150.0]
     ledger = single_asset.trade_ledger(bars.withColumn("price", F.col("close"))).collect()
