@@ -205,6 +205,7 @@ def implausible_values(records: DataFrame, measures: dict[str, Measure]) -> Data
     """
     rows = records.select("measure", "source", F.col("day").cast("string").alias("day"), F.when(~F.isnan("value"), F.col("value")).alias("value"), F.coalesce("idle", F.lit(False)).alias("idle"))
     rows = rows.filter(F.col("measure").isin(list(measures))).dropna(subset=["source", "day"]).distinct()
+    rows = rows.repartition("measure", "source")  # serves both windows
     # a null beside a value of the same source and day is a poorer copy of it
     of_day = Window.partitionBy("measure", "source", "day")
     rows = rows.withColumn("known", F.count("value").over(of_day)).filter("known = 0 or value is not null").drop("known")
