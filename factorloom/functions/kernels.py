@@ -86,7 +86,8 @@ def wilder(x: np.ndarray, d: int, start: int | None = None, first: int = 0) -> n
 
 
 def directional(h: np.ndarray, l: np.ndarray, c: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """+DI, -DI and DX; an instrument of fewer than d + 1 bars has none, which the bars' count decides."""
+    """+DI, -DI and DX; an instrument without a known price after its d-th bar has none."""
+    none = np.isnan(h[:, d:]).all(axis=1) & np.isnan(l[:, d:]).all(axis=1) & np.isnan(c[:, d:]).all(axis=1)
     up, down = h - lagged(h), lagged(l) - l
     with np.errstate(invalid="ignore"):
         plus = np.where((up > down) & (up > 0), up, 0.0)
@@ -95,6 +96,8 @@ def directional(h: np.ndarray, l: np.ndarray, c: np.ndarray, d: int) -> tuple[np
         plus_di, minus_di = (np.where(tr > 1e-12, 100 * ratio(x, tr), np.nan) for x in (p, m))
         both = plus_di + minus_di
         dx = np.where(both > 1e-12, 100 * ratio(np.abs(plus_di - minus_di), both), np.nan)
+    for x in (plus_di, minus_di, dx):
+        x[none] = np.nan
     return plus_di, minus_di, dx
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factorloom.functions import ops
 from factorloom.functions.common import key_upper, read_table
 from factorloom.plans.compiler import compute, panel
 
@@ -64,7 +65,17 @@ def known(*xs: str) -> str:
     return " AND ".join(f"{x} IS NOT NULL" for x in xs)
 
 
-NORMAL = None  # no inverse normal in SQL: tested against Python's statistics.NormalDist instead
+def _poly(c: tuple[float, ...], r: str) -> str:
+    out = repr(c[-1])
+    for k in reversed(c[:-1]):
+        out = f"({out} * {r} + {k!r})"
+    return out
+
+
+# the normal quantile of a column p (stages); it is also tested against Python's statistics.NormalDist
+NORMAL_STAGES = ("CASE WHEN p IS NOT NULL THEN least(greatest(p, 1e-12), 1 - 1e-12) END AS u", "u - 0.5 AS h, sqrt(-ln(least(u, 1 - u))) AS r, 0.180625 - (u - 0.5) * (u - 0.5) AS m")
+NORMAL = f"""CASE WHEN abs(h) <= 0.425 THEN h * {_poly(ops._A, "m")} / {_poly(ops._B, "m")} ELSE sign(h) *
+  CASE WHEN r <= 5 THEN {_poly(ops._C, "(r - 1.6)")} / {_poly(ops._D, "(r - 1.6)")} ELSE {_poly(ops._E, "(r - 5)")} / {_poly(ops._FF, "(r - 5)")} END END"""
 
 # name -> (expression, SQL over q) or (expression, SQL over the last stage, earlier stages of added columns)
 SPECS: dict[str, tuple] = {}
@@ -158,7 +169,7 @@ _LAGGED = "OVER (PARTITION BY instrument ORDER BY timestamp ROWS 7 PRECEDING)"
 add("ts_regression_lag", f"ts_regression(log(abs({V}) + 1), log(abs({C}) + 1), 10, lag=2, rettype=2)", "CASE WHEN rn > 2 THEN b ELSE b0 END",
     REG, f"lag(x, 2) {W} AS z", f"regr_count(y, z) {_LAGGED} AS n, regr_sxx(y, z) {_LAGGED} AS sxx, regr_sxy(y, z) {_LAGGED} AS sxy, regr_count(y, x) {r(10)} AS n0, regr_sxx(y, x) {r(10)} AS sxx0, regr_sxy(y, x) {r(10)} AS sxy0",
     "CASE WHEN n >= 2 AND sxx <> 0 THEN sxy / sxx END AS b, CASE WHEN n0 >= 2 AND sxx0 <> 0 THEN sxy0 / sxx0 END AS b0")
-add("ts_quantile", f"ts_quantile({C}, 10)", NORMAL)
+add("ts_quantile", f"ts_quantile({C}, 10)", f"CASE WHEN n >= 2 THEN {NORMAL} END", f"{lst('close', 10)} AS a, count(close) {r(10)} AS n", f"{SHARE} AS p", *NORMAL_STAGES)
 add("days_from_last_change", "days_from_last_change(sign(col(\"close\") - col(\"open\")))", f"rn - coalesce(max(CASE WHEN ch THEN rn END) {ALL}, 1)", "sign(close - open) AS x", f"rn > 1 AND x IS DISTINCT FROM lag(x) {W} AS ch")
 add("kth_element", f"kth_element({C}, 10, 3)", "list_sort(a)[3]", f"{lst('close', 10)} AS a")
 add("last_diff_value", f"last_diff_value(sign(col(\"close\") - col(\"open\")), 6)", "list_filter(a, lambda v: v <> x)[-1]", "sign(close - open) AS x", "coalesce(list(x) FILTER (WHERE x IS NOT NULL) OVER (PARTITION BY instrument ORDER BY timestamp ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), []) AS a")
@@ -171,7 +182,7 @@ add("rank", f"rank({C})", prank("close"))
 add("zscore", f"zscore(log({V} + 1))", f"(x - avg(x) {CS}) / {nz(f'stddev_samp(x) {CS}')}", "CASE WHEN volume > -1 THEN ln(volume + 1) END AS x")
 LOGV = "CASE WHEN volume > -1 THEN ln(volume + 1) END AS x"
 add("normalize", f"normalize(log({V} + 1), useStd=True, limit=1.5)", clip("z", "-1.5", "1.5"), LOGV, f"(x - avg(x) {CS}) / {nz(f'stddev_samp(x) {CS}')} AS z")
-add("quantile", f"quantile({C})", NORMAL)
+add("quantile", f"quantile({C})", NORMAL, f"{prank('close')} AS p", *NORMAL_STAGES)
 add("scale", f"scale(ts_delta({C}, 1), longscale=2.0)", f"CASE WHEN x > 0 THEN x / sum(CASE WHEN x > 0 THEN x END) {CS} * 2 WHEN x < 0 THEN x / sum(CASE WHEN x < 0 THEN -x END) {CS} ELSE x END", f"close - lag(close) {W} AS x")
 add("winsorize", f"winsorize({C}, std=1.0)", clip("close", f"avg(close) {CS} - s", f"avg(close) {CS} + s"), f"CASE WHEN stddev_samp(close) {CS} > 0 THEN stddev_samp(close) {CS} END AS s")
 _NA, _NB = "(CASE WHEN y IS NOT NULL THEN x END)", "(CASE WHEN x IS NOT NULL THEN y END)"
@@ -302,16 +313,35 @@ _HUMP = """z AS (SELECT * FROM q), e AS (SELECT z.*, close AS y, close AS o FROM
   CASE WHEN z.close IS NULL THEN NULL WHEN e.y IS NULL THEN z.close ELSE least(greatest(z.close, e.y - 0.5), e.y + 0.5) END AS o
   FROM e JOIN z ON z.instrument = e.instrument AND z.rn = e.rn + 1)"""
 rec("hump", f"hump({C}, 0.5)", _HUMP, "o")
-# tested against a plain Python version instead
-for _n, _e in {
-    "ts_keltner": f"ts_keltner({HLC}, 10, band=\"upper\")",
-    "ts_adx": f"ts_adx({HLC}, 10)",
-    "ts_adx_plus": f"ts_adx({HLC}, 10, line=\"plus_di\")",
-    "ts_adxr": f"ts_adxr({HLC}, 10)",
-    "ts_dx": f"ts_dx({HLC}, 10)",
-    "ts_sar": "ts_sar(col(\"high\"), col(\"low\"))",
-}.items():
-    add(_n, _e, None)
+rec("ts_keltner", f"ts_keltner({HLC}, 10, band=\"upper\", atr_d=5)", ema_sql([("a", "(high + low + close) / 3", alpha(10))]) + """,
+k0 AS (SELECT q.*, """ + TR + """ AS tr FROM q), ks AS (SELECT instrument, avg(tr) AS s FROM k0 WHERE rn <= 5 GROUP BY 1),
+k AS (SELECT k0.*, s AS atr FROM k0 JOIN ks USING (instrument) WHERE rn = 5 UNION ALL SELECT k0.*, (k.atr * 4 + k0.tr) / 5 AS atr FROM k JOIN k0 ON k0.instrument = k.instrument AND k0.rn = k.rn + 1),
+full_e AS (SELECT e.instrument, e.timestamp, e.a, k.atr FROM e LEFT JOIN k ON k.instrument = e.instrument AND k.rn = e.rn)""", "a + 2 * atr", "full")
+_DMI = f"""d0 AS (SELECT q.*, {TR} AS tr, high - lag(high) {W} AS up, lag(low) {W} - low AS dn, count(coalesce(high, low, close)) OVER (PARTITION BY instrument) AS whole, max(CASE WHEN coalesce(high, low, close) IS NOT NULL THEN rn END) OVER (PARTITION BY instrument) AS last_known FROM q),
+d1 AS (SELECT *, CASE WHEN coalesce(up > dn AND up > 0, false) THEN up ELSE 0 END AS pm, CASE WHEN coalesce(dn > up AND dn > 0, false) THEN dn ELSE 0 END AS mm FROM d0),
+ds AS (SELECT instrument, avg(tr) AS st, avg(pm) AS sp, avg(mm) AS sm FROM d1 WHERE rn <= 10 GROUP BY 1),
+d2 AS (SELECT d1.*, st AS a, sp AS b, sm AS c FROM d1 JOIN ds USING (instrument) WHERE rn = 10 AND last_known > 10 UNION ALL
+  SELECT d1.*, (d2.a * 9 + d1.tr) / 10 AS a, (d2.b * 9 + d1.pm) / 10 AS b, (d2.c * 9 + d1.mm) / 10 AS c FROM d2 JOIN d1 ON d1.instrument = d2.instrument AND d1.rn = d2.rn + 1),
+d3 AS (SELECT instrument, rn, CASE WHEN a > 1e-12 THEN 100 * b / a END AS pdi, CASE WHEN a > 1e-12 THEN 100 * c / a END AS mdi FROM d2),
+d4 AS (SELECT *, CASE WHEN pdi + mdi > 1e-12 THEN 100 * abs(pdi - mdi) / (pdi + mdi) END AS dx FROM d3),
+d5 AS (SELECT instrument, avg(dx) AS s FROM d4 WHERE rn BETWEEN 10 AND 19 GROUP BY 1),
+d6 AS (SELECT d4.*, s AS adx FROM d4 JOIN d5 USING (instrument) WHERE rn = 19 UNION ALL SELECT d4.*, (d6.adx * 9 + d4.dx) / 10 AS adx FROM d6 JOIN d4 ON d4.instrument = d6.instrument AND d4.rn = d6.rn + 1),
+full_e AS (SELECT q.instrument, q.timestamp, d4.pdi, d4.dx, d6.adx, lag(d6.adx, 10) OVER (PARTITION BY q.instrument ORDER BY q.timestamp) AS adx10
+  FROM q LEFT JOIN d4 ON d4.instrument = q.instrument AND d4.rn = q.rn LEFT JOIN d6 ON d6.instrument = q.instrument AND d6.rn = q.rn)"""
+rec("ts_adx", f"ts_adx({HLC}, 10)", _DMI, "adx", "full")
+rec("ts_adx_plus", f"ts_adx({HLC}, 10, line=\"plus_di\")", _DMI, "pdi", "full")
+rec("ts_adxr", f"ts_adxr({HLC}, 10)", _DMI, "(adx + adx10) / 2", "full")
+rec("ts_dx", f"ts_dx({HLC}, 10)", _DMI, "dx", "full")
+_SAR = f"""z AS (SELECT instrument, timestamp, rn, high, low, lag(high) {W} AS ph, lag(low) {W} AS pl, lead(high) {W} AS nh, lead(low) {W} AS nl, count(*) OVER (PARTITION BY instrument) AS n FROM q),
+e AS (SELECT instrument, timestamp, rn, coalesce(nh + nl > high + low, false) AS up, CASE WHEN n < 2 THEN NULL WHEN coalesce(nh + nl > high + low, false) THEN low ELSE high END AS sar,
+    CASE WHEN coalesce(nh + nl > high + low, false) THEN high ELSE low END AS ep, 0.02::DOUBLE AS af FROM z WHERE rn = 1
+  UNION ALL SELECT instrument, timestamp, rn, CASE WHEN turn THEN NOT up ELSE up END, CASE WHEN turn THEN ep2 ELSE nx END, CASE WHEN turn THEN CASE WHEN up THEN low ELSE high END ELSE ep2 END, CASE WHEN turn THEN 0.02 ELSE af2 END
+  FROM (SELECT *, coalesce(CASE WHEN up THEN low < nx ELSE high > nx END, false) AS turn FROM
+    (SELECT z.instrument, z.timestamp, z.rn, z.high, z.low, e.up, CASE WHEN e.up THEN least(e.sar + e.af * (e.ep - e.sar), z.pl, z.low) ELSE greatest(e.sar + e.af * (e.ep - e.sar), z.ph, z.high) END + 0 * e.sar AS nx,
+      CASE WHEN e.up THEN greatest(e.ep, z.high) ELSE least(e.ep, z.low) END AS ep2,
+      CASE WHEN coalesce(CASE WHEN e.up THEN z.high > e.ep ELSE z.low < e.ep END, false) THEN least(e.af + 0.02, 0.2) ELSE e.af END AS af2
+     FROM e JOIN z ON z.instrument = e.instrument AND z.rn = e.rn + 1)))"""
+rec("ts_sar", "ts_sar(col(\"high\"), col(\"low\"))", _SAR, "sar")
 
 
 def _query(dsl: str):

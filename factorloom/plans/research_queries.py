@@ -397,6 +397,7 @@ def in_vwap_reversion(spark, d):
 
 
 _IW = "OVER (PARTITION BY instrument ORDER BY timestamp)"
+_IW2 = "OVER (PARTITION BY tk.instrument ORDER BY tk.timestamp)"
 _R20 = "OVER (PARTITION BY instrument ORDER BY timestamp ROWS 19 PRECEDING)"
 PREP_SQL = f"""{VWAP_SQL}, pp0 AS (SELECT *, CASE WHEN count(factor) {_R20} >= 20 THEN (factor - avg(factor) {_R20}) / nullif(stddev_pop(factor) {_R20}, 0) END AS factor_z, lead(close, 4) {_IW} / nullif(lead(close) {_IW}, 0) - 1 AS target_ret,
   row_number() {_DAY} - 1 < count(*) OVER (PARTITION BY instrument, date) - 3 AS ok FROM vf),
@@ -437,9 +438,15 @@ def in_daily_ic(spark, d):
     return rounded(minute.daily_ic(_prepared(spark, d), "factor_eval", "target_eval", least=5), "ic", "rank_ic")
 
 
-@query("in_holding_pnl")
+HOLD_PNL_SQL = f"""{GROUP_SQL}, hz AS (SELECT tk.instrument, tk.timestamp, tk.close, row_number() {_IW2} AS rn, lag(gr.g) {_IW2} AS before FROM tk LEFT JOIN gr ON gr.instrument = tk.instrument AND gr.timestamp = tk.timestamp),
+hp AS (SELECT instrument, timestamp, close, rn, 0.0 AS pos, 0 AS left_bars FROM hz WHERE rn = 1 UNION ALL
+  SELECT hz.instrument, hz.timestamp, hz.close, hz.rn, CASE WHEN hp.left_bars > 0 THEN hp.pos WHEN hz.before = 5 THEN 1.0 WHEN hz.before = 1 THEN -1.0 ELSE 0.0 END, CASE WHEN hp.left_bars > 0 THEN hp.left_bars - 1 WHEN hz.before IN (1, 5) THEN 2 ELSE 0 END
+  FROM hp JOIN hz ON hz.instrument = hp.instrument AND hz.rn = hp.rn + 1)"""
+
+
+@query("in_holding_pnl", f"WITH RECURSIVE {HOLD_PNL_SQL} SELECT instrument, timestamp, pos AS net_position, round(coalesce(pos * (lead(close) {_IW} / nullif(close, 0) - 1), 0) - abs(pos - coalesce(lag(pos) {_IW}, 0)) * 0.0001, 6) AS pnl FROM hp")
 def in_holding_pnl(spark, d):
-    return minute.holding_pnl(_grouped(spark, d), "close", 5, 3, 0.0001).select("instrument", "timestamp", "net_position", "pnl", "cum_pnl")
+    return rounded(minute.holding_pnl(_grouped(spark, d), "close", 5, 3, 0.0001).select("instrument", "timestamp", "net_position", "pnl"), "pnl")
 
 
 @query("in_volatility_regime")
@@ -474,25 +481,39 @@ def _positions(spark, d):
     return single_asset.threshold_positions(single_asset.dual_ma_signal(_bars(spark, d), price="price"), 0.3, 0.1)
 
 
-@query("sa_rsi_signal")
+RSI_SQL = f"""{PANEL_SQL}, {ema_sql([("ag", "gain", "(1.0 / 14)"), ("al", "loss", "(1.0 / 14)")], f", CASE WHEN rn > 1 THEN greatest(open - lag(open) {W}, 0) + 0 * (open - lag(open) {W}) END AS gain, CASE WHEN rn > 1 THEN greatest(lag(open) {W} - open, 0) + 0 * (open - lag(open) {W}) END AS loss")},
+rs AS (SELECT e.instrument, e.timestamp, CASE WHEN count(q.open) OVER (PARTITION BY e.instrument ORDER BY e.timestamp) > 14 THEN tanh(-(100 - 100 / (1 + ag / nullif(al, 0)) - 50) / 20) END AS signal FROM e JOIN q USING (instrument, timestamp))"""
+MA_SQL = f"""s0 AS (SELECT instrument, timestamp, rn, CASE WHEN count(open) OVER a >= 10 AND count(open) OVER b >= 30 THEN (avg(open) OVER a - avg(open) OVER b) / nullif(avg(open) OVER b, 0) END AS g FROM q
+  WINDOW a AS (PARTITION BY instrument ORDER BY timestamp ROWS 9 PRECEDING), b AS (PARTITION BY instrument ORDER BY timestamp ROWS 29 PRECEDING)),
+ms AS (SELECT instrument, timestamp, rn, tanh(g / CASE WHEN count(g) OVER c >= 20 THEN nullif(stddev_samp(g) OVER c, 0) END) AS signal FROM s0 WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 19 PRECEDING))"""
+STEP = lambda p: f"CASE WHEN {p} = 0 THEN CASE WHEN v > 0.3 THEN 1.0 WHEN v < -0.3 THEN -1.0 ELSE 0.0 END WHEN {p} > 0 THEN CASE WHEN v < -0.3 THEN -1.0 WHEN v < 0.1 THEN 0.0 ELSE 1.0 END ELSE CASE WHEN v > 0.3 THEN 1.0 WHEN v > -0.1 THEN 0.0 ELSE -1.0 END END"
+POSITION_SQL = f"""{PANEL_SQL}, {MA_SQL}, mv AS (SELECT *, coalesce(signal, 0) AS v FROM ms),
+fsm AS (SELECT instrument, timestamp, rn, signal, {STEP("0")} AS p FROM mv WHERE rn = 1 UNION ALL SELECT mv.instrument, mv.timestamp, mv.rn, mv.signal, {STEP("fsm.p")} AS p FROM fsm JOIN mv ON mv.instrument = fsm.instrument AND mv.rn = fsm.rn + 1),
+tp AS (SELECT instrument, timestamp, signal, coalesce(lag(p) OVER (PARTITION BY instrument ORDER BY timestamp), 0) AS target_position FROM fsm)"""
+
+
+@query("sa_rsi_signal", f"WITH RECURSIVE {RSI_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal FROM rs")
 def sa_rsi_signal(spark, d):
-    return single_asset.rsi_signal(_bars(spark, d), price="price")
+    return rounded(single_asset.rsi_signal(_bars(spark, d), price="price"), "signal")
+
+
+_Z60 = lambda x: f"coalesce(CASE WHEN count({x}) OVER k >= 30 THEN ({x} - avg({x}) OVER k) / nullif(stddev_samp({x}) OVER k, 0) END, 0)"
 
 
-@query("sa_factor_signal")
+@query("sa_factor_signal", f"WITH {BASE_SQL} SELECT instrument, timestamp, round(tanh({_Z60('value')} / 1.5 - {_Z60('trend')} * 0.5 / 1.5), 6) AS signal FROM b0 WINDOW k AS (PARTITION BY instrument ORDER BY timestamp ROWS 59 PRECEDING)")
 def sa_factor_signal(spark, d):
-    return single_asset.factor_signal(bars_with_returns(spark, d), {"value": 1.0, "trend": -0.5})
+    return rounded(single_asset.factor_signal(bars_with_returns(spark, d), {"value": 1.0, "trend": -0.5}), "signal")
 
 
-@query("sa_combined")
+@query("sa_combined", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL} SELECT ms.instrument, ms.timestamp, round(coalesce(ms.signal, 0) * 2 / 3.0 + coalesce(rs.signal, 0) / 3.0, 6) AS signal FROM ms JOIN rs USING (instrument, timestamp)")
 def sa_combined(spark, d):
     b = _bars(spark, d)
-    return single_asset.combine_signals({"ma": single_asset.dual_ma_signal(b, price="price"), "rsi": single_asset.rsi_signal(b, price="price")}, {"ma": 2, "rsi": 1})
+    return rounded(single_asset.combine_signals({"ma": single_asset.dual_ma_signal(b, price="price"), "rsi": single_asset.rsi_signal(b, price="price")}, {"ma": 2, "rsi": 1}), "signal")
 
 
-@query("sa_threshold_positions")
+@query("sa_threshold_positions", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, target_position FROM tp")
 def sa_threshold_positions(spark, d):
-    return _positions(spark, d)
+    return rounded(_positions(spark, d), "signal")
 
 
 @query("sa_atr_positions")
@@ -501,9 +522,9 @@ def sa_atr_positions(spark, d):
     return single_asset.atr_positions(b, single_asset.dual_ma_signal(b))
 
 
-@query("sa_debounce")
+@query("sa_debounce", f"WITH RECURSIVE {POSITION_SQL}, db AS (SELECT *, lag(target_position) OVER w AS b, row_number() OVER w AS k FROM tp WINDOW w AS (PARTITION BY instrument ORDER BY timestamp)) SELECT instrument, timestamp, round(signal, 6) AS signal, target_position FROM db WHERE k = 1 OR b <> target_position")
 def sa_debounce(spark, d):
-    return single_asset.debounce(_positions(spark, d))
+    return rounded(single_asset.debounce(_positions(spark, d)), "signal")
 
 
 @query("sa_check_positions", "SELECT CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS repeated")
