@@ -306,10 +306,18 @@ def _gaussian(driver):
         raise ValueError(f"quantile driver {driver!r} isn't available")
 
 
-@op("ts_quantile", "@x, d, driver='gaussian'", "WIN")
+@op("_probit", "@p, sigma")
+def _probit(p, sigma):
+    return F.when(p.isNotNull(), normal_quantile(_clipped(p))) * float(sigma)
+
+
+op("_share", "@x, d", "WIN")(lambda x, d: gate(_window_share(x, d), x, R(d), 2))
+
+
+@op("ts_quantile", "@x, d, driver='gaussian'", "MACRO")
 def _ts_quantile(x, d, driver):
     _gaussian(driver)
-    return gate(F.when(x.isNotNull(), normal_quantile(_clipped(_window_share(x, d)))), x, R(d), 2)
+    return Node("_probit", (Node("_share", (x,), (("d", d),)),), (("sigma", 1.0),))
 
 
 op("_since_change", "@changed, @rn", "WIN")(lambda c, rn: (rn - F.coalesce(F.max(F.when(c > 0, rn)).over(W().rowsBetween(Window.unboundedPreceding, 0)), F.lit(1))).cast("double"))
@@ -350,10 +358,10 @@ def _normalize(x, useStd, limit):
     return clip(out, F.lit(-float(limit)), F.lit(float(limit))) if limit > 0 else out
 
 
-@op("quantile", "@x, driver='gaussian', sigma=1.0", "WIN")
+@op("quantile", "@x, driver='gaussian', sigma=1.0", "MACRO")
 def _quantile(x, driver, sigma):
     _gaussian(driver)
-    return F.when(x.isNotNull(), normal_quantile(_clipped(pct_rank(x, TS)))) * float(sigma)
+    return Node("_probit", (Node("rank", (x,), (("rate", 2),)),), (("sigma", sigma),))
 
 
 @op("scale", "@x, scale=1.0, longscale=1.0, shortscale=1.0", "WIN")
