@@ -51,6 +51,11 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def task_count(df: DataFrame, groups: int, bytes_each: int = 64 << 20) -> int:
+    """Into how many tasks hash groups are to be spread: by the data's size, whatever the session's default."""
+    return max(min(groups, 64), -(-plan_bytes(df) // bytes_each))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import broadcast_if_small, cut_lineage, group_count
+from factorloom.functions.common import broadcast_if_small, cut_lineage, group_count, task_count
 
 RESULT = "left_id long, right_id long, gap_us long"
 OUT = pa.schema([("left_id", pa.int64()), ("right_id", pa.int64()), ("gap_us", pa.int64())])
@@ -111,6 +111,8 @@ def nearest_time_join(
     r = r.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     groups = group_count(l)
     l, r = (x.select(F.pmod(F.xxhash64("k", "b", "sub", "s"), F.lit(groups)).alias("g"), "id", "k", "t") for x in (l, r))
+    tasks = task_count(l, groups)
+    l, r = (x.repartition(tasks, "g") for x in (l, r))
     return l.groupBy("g").cogroup(r.groupBy("g")).applyInArrow(lambda a, b: _search(a, b, tolerance_us), RESULT)
 
 
