@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import group_count, finite
+from factorloom.functions.common import finite, group_count, task_count
 
 BLOCK = 1024  # cells in one dense block
 
@@ -110,6 +110,7 @@ def trailing_totals(
     bars = bars.withColumn("tile", F.explode(tiles))
     groups = group_count(df)
     g = F.pmod(F.xxhash64("entity", "tile"), F.lit(groups)).alias("g")
+    tasks = task_count(df, groups)
     cells = cells.select(g, cell, "entity", "tile", "first", "last")
     bars = bars.select(g, cell, "day", "volume", "close")
     fields = [pa.field("entity", pa.string()), pa.field("day", pa.int64()), pa.field("age", pa.int64())]
@@ -117,5 +118,5 @@ def trailing_totals(
         fields += [pa.field(f"{c}_{w}", pa.float64()) for c in ("volume", "avg_volume", "avg_close")]
     schema = pa.schema(fields)
     ddl = "entity string, day long, age long, " + ", ".join(f"{f.name} double" for f in fields[3:])
-    out = cells.groupBy("g").cogroup(bars.groupBy("g")).applyInArrow(lambda a, b: _tiles(a, b, tile, windows, schema), ddl)
+    out = cells.repartition(tasks, "g").groupBy("g").cogroup(bars.repartition(tasks, "g").groupBy("g")).applyInArrow(lambda a, b: _tiles(a, b, tile, windows, schema), ddl)
     return out.withColumn("day", F.date_from_unix_date(F.col("day").cast("int")))
