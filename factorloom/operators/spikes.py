@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import group_count
+from factorloom.functions.common import group_count, task_count
 
 TILE, HALO, BLOCK = 512, 128, 512
 FLAG_AT = 3.0  # standardised innovation beyond which a value is flagged
@@ -216,4 +216,4 @@ def implausible_values(records: DataFrame, measures: dict[str, Measure]) -> Data
     cell = F.concat_ws("\x01", "source", "tile").alias("cell")
     groups = group_count(records)
     cells = cells.select(F.pmod(F.xxhash64("measure", "source", "tile"), F.lit(groups)).alias("g"), "measure", cell, "source", "tile", "pos", "value", "idle", "day")
-    return cells.groupBy("g").applyInArrow(lambda table: _found(table, measures), "measure string, source string, day string, value double, reason string")
+    return cells.repartition(task_count(records, groups), "g").groupBy("g").applyInArrow(lambda table: _found(table, measures), "measure string, source string, day string, value double, reason string")
