@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.functions import kernels, ops
-from factorloom.functions.common import finite, group_count
+from factorloom.functions.common import finite, group_count, task_count
 from factorloom.functions.ops import INST, OPS, TS
 from factorloom.plans import stubs
 from factorloom.plans.dsl import DslError, Node, columns_of, parse
@@ -189,7 +189,7 @@ def run_kernels(df: DataFrame, calls: list[tuple[str, str, list[str], dict]], dr
             out = out.append_column(name, pa.array(results[name], from_pandas=True))
         return out
 
-    return keyed.groupBy("_g").applyInArrow(run, schema)
+    return keyed.repartition(task_count(df, groups), "_g").groupBy("_g").applyInArrow(run, schema)
 
 
 def compute(df: DataFrame, factors: Mapping[str, Node | str], keep: Iterable[str] = ()) -> DataFrame:

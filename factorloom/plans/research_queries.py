@@ -173,9 +173,11 @@ def src_clean_explode(spark, d):
     return out.select("source", "time_columns", "timezone")
 
 
-@query("lake_upsert", """WITH o AS (SELECT lower(regexp_replace(factor_id, '^\\s+|\\s+$', '', 'g')) AS factor_id, start_date, end_date, row_count FROM factor_watermark)
-SELECT upper(regexp_replace(ticker, '^\\s+|\\s+$', '', 'g')) AS asset, window_start, volume FROM (SELECT *, row_number() OVER (PARTITION BY upper(regexp_replace(ticker, '^\\s+|\\s+$', '', 'g')), window_start
-  ORDER BY ingested_at DESC NULLS LAST, volume DESC NULLS LAST) AS k FROM day_aggs) WHERE k = 1""".split("\n", 1)[1])
+_ASSET = "upper(regexp_replace(ticker, '^\\s+|\\s+$', '', 'g'))"
+
+
+@query("lake_upsert", f"""SELECT {_ASSET} AS asset, window_start, volume FROM (SELECT *, row_number() OVER (PARTITION BY {_ASSET}, window_start
+  ORDER BY ingested_at DESC NULLS LAST, volume DESC NULLS LAST) AS k FROM day_aggs) WHERE k = 1""")
 def lake_upsert(spark, d):
     """Corrected bars over the first deliveries: of each key the newest row."""
     rows = read_table(spark, d, "day_aggs").select(key_upper("ticker").alias("asset"), "window_start", "ingested_at", "volume")
@@ -209,7 +211,6 @@ def co_neutralize_ols(spark, d):
     return composite.neutralize_ols(_factors(spark, d), ["value"], ["trend", "sector"]).select("instrument", "timestamp", "value")
 
 
-_SQN = "(CASE WHEN trend IS NOT NULL THEN value END)"
 @query("co_orthogonalize_sequential", f"WITH {FACTORS_SQL}, s AS (SELECT *, CASE WHEN value IS NOT NULL THEN trend END AS y, CASE WHEN trend IS NOT NULL THEN value END AS x FROM c2) SELECT instrument, timestamp, round(value, 6) AS value, round(CASE WHEN count(y) {CS} > 1 THEN y - coalesce(sum(x * y) {CS} / nullif(sum(x * x) {CS}, 0), 0) * x END, 6) AS trend FROM s")
 def co_orthogonalize_sequential(spark, d):
     return rounded(composite.orthogonalize_sequential(_factors(spark, d), ["value", "trend"]).select("instrument", "timestamp", "value", "trend"), "value", "trend")
