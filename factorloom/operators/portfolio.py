@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import broadcast_if_small
+from factorloom.functions.common import broadcast_if_small, cut_lineage
 from factorloom.functions.ops import TS, div, nonzero
 from factorloom.operators.evaluation import cumulative
 
@@ -45,8 +45,9 @@ def backtest(holdings: DataFrame, prices: DataFrame, *, window: int = 1, cost_ra
     missing (then 0) if either is missing or tradable (timestamp, instrument, tradable) isn't true.
     Rows stay long: a key of weights, one of prices, and the two dates around each; no grid is made.
     """
-    h = holdings.select(TS, "instrument", "weight").dropna().groupBy(TS, "instrument").agg(F.sum("weight").alias("weight"))
-    p = prices.select(TS, "instrument", "price").dropna().groupBy(TS, "instrument").agg(F.max("price").alias("price"))
+    # both are read several times below, so what made them runs once
+    h = cut_lineage(holdings.select(TS, "instrument", "weight").dropna().groupBy(TS, "instrument").agg(F.sum("weight").alias("weight")))
+    p = cut_lineage(prices.select(TS, "instrument", "price").dropna().groupBy(TS, "instrument").agg(F.max("price").alias("price")))
     one = Window.partitionBy(F.lit(1)).orderBy(TS)  # calendars have one row a date
     h_days, p_days = h.select(TS).distinct(), p.select(TS).distinct()
     after = h_days.select(TS, F.lead(TS).over(one).alias("_next"))
