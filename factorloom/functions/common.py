@@ -33,17 +33,28 @@ def finite(c: Column | str) -> Column:
     return F.when(F.abs(c) < float("inf"), c)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of df's size; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def source_bytes(df: DataFrame) -> int | None:
+    """The size of the tables that df is made of, as the optimizer knows it; no job runs.
+
+    None if a part of it is unknown (data handed over from the driver or a checkpoint). Estimates of
+    whole plans are of no use here: a join counts as the product of its sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= 1 << 50 for s in sizes) else sum(sizes)
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def group_count(df: DataFrame, bytes_each: int = 4 << 20, least: int = 16, most: int = 1 << 20) -> int:
     """Into how many hash groups df is to be split so that each stays near bytes_each.
 
-    Works from the plan's size estimate, so it follows the input and needs no job.
+    Follows the size of the source tables; where that is unknown, the session's shuffle partitions.
     """
-    return max(least, min(most, math.ceil(plan_bytes(df) / bytes_each)))
+    size = source_bytes(df)
+    return max(least, 4 * _shuffle_partitions(df) if size is None else min(most, math.ceil(size / bytes_each)))
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
@@ -52,8 +63,9 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
 
 def task_count(df: DataFrame, groups: int, bytes_each: int = 64 << 20) -> int:
-    """Into how many tasks hash groups are to be spread: by the data's size, whatever the session's default."""
-    return max(min(groups, 64), -(-plan_bytes(df) // bytes_each))
+    """Into how many tasks hash groups are to be spread: by the data's size where it is known."""
+    size = source_bytes(df)
+    return _shuffle_partitions(df) if size is None else max(min(groups, 64), min(1 << 20, -(-size // bytes_each)))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
