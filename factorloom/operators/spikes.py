@@ -3,7 +3,8 @@
 A local-level state-space model runs over every series forwards and backwards: a Kalman filter
 predicts each value, an innovation beyond the threshold is flagged and its update withheld, and
 after three flagged values in a row the filter starts anew at the new level. A value that both
-passes flag is a candidate; the rule of the measurement then decides. Values whose innovation
+passes flag is a candidate; the rule of the measurement then decides. A size (a return, say) has the
+level zero, and its candidates begin at GATE of the rule's bound. Values whose innovation
 variance vanishes (the very same value again and again) are stuck.
 
 Series are cut into tiles of records with a halo on either side, so a long series is many tasks.
@@ -26,6 +27,7 @@ TILE, HALO, BLOCK = 512, 128, 512
 FLAG_AT = 3.0  # standardised innovation beyond which a value is flagged
 LEVEL_RUN = 3  # so many flagged values in a row are a new level
 STUCK_RUN = 6
+GATE = 0.9  # candidates of kind 'size' begin at this part of the bound in the exact rule
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ def _filter(x: np.ndarray, scale: np.ndarray, m: Measure) -> np.ndarray:
     if m.kind == "factor":
         sd = np.minimum(sd, np.log(m.factor) / (2 * FLAG_AT))
     if m.kind == "size":
-        q, r = (1e-4 * sd) ** 2, (3 * sd) ** 2
+        q, r = 0.0, (GATE * m.times_move * scale / FLAG_AT) ** 2
     elif m.kind == "factor":
         q, r = 0.2 * sd**2, sd**2
     else:
@@ -83,7 +85,7 @@ def _filter(x: np.ndarray, scale: np.ndarray, m: Measure) -> np.ndarray:
             flag = seen & begun & (np.abs(innovation) > FLAG_AT * np.sqrt(s))
         run = np.where(seen, np.where(flag, run + 1, 0), run)
         anew = seen & (~begun | ((run >= LEVEL_RUN) & (m.kind != "size")))
-        gain = np.where(seen & ~flag & ~anew, var / s, 0.0)
+        gain = np.where(seen & ~flag & ~anew, var / s, 0.0)  # of a size it stays 0, as var does
         level = np.where(anew, z, level + np.where(gain > 0, gain * np.nan_to_num(innovation), 0.0))
         var = np.where(anew, r, (1 - gain) * var)
         run = np.where(anew, 0, run)
@@ -108,6 +110,8 @@ def _spikes(x: np.ndarray, m: Measure) -> np.ndarray:
     for i in np.nonzero(flags.any(axis=1))[0]:
         at = np.nonzero(~np.isnan(x[i]))[0]
         v, c = x[i, at], flags[i, at]
+        if m.kind == "size":
+            c = c & (np.abs(v) > m.times_move * scale[i])  # a candidate within the bound makes no run longer
         good = np.nonzero(~c)[0]
         j = 0
         while j < len(v):
@@ -122,7 +126,7 @@ def _spikes(x: np.ndarray, m: Measure) -> np.ndarray:
             if len(run) > 2:
                 continue
             if m.kind == "size":
-                hit = np.abs(v[run]) > m.times_move * scale[i]
+                hit = c[run]
             else:
                 before, after = v[good[good < run[0]][-3:]], v[good[good > run[-1]][:3]]
                 if not len(before) or not len(after):

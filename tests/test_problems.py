@@ -3,6 +3,8 @@
 import json
 import random
 from datetime import date, datetime, timedelta, timezone
+from itertools import groupby
+from statistics import median
 
 import pytest
 from drift_reference import changes
@@ -17,6 +19,7 @@ from factorloom.operators.orphans import orphan_references
 from factorloom.operators.rolling import trailing_totals
 from factorloom.operators.spikes import Measure, implausible_values
 from factorloom.operators.times import normalise_times
+from factorloom.plans.problems import p3_reasons
 
 UTC = timezone.utc
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
@@ -165,6 +168,33 @@ def test_spikes_of_odd_tables(spark):
     assert judged(spark, rows) == []
 
 
+def test_spikes_of_sizes_by_the_rule_alone(spark):
+    small = [0.01 * (-1) ** (i * i // 3) for i in range(80)]  # the usual size is 0.01
+    small[20], small[35], small[50] = 0.09, -0.11, 0.14
+    small[60:63] = [0.095, 0.11, -0.12]  # only two in a row exceed the bound
+    small[70:73] = [0.11, 0.12, 0.13]
+    d = lambda n: str(date(2024, 1, 1) + timedelta(n))
+    spikes = [x for x in judged(spark, series("r", small)) if x[3] == "spike"]
+    assert spikes == [("r", "s", d(i), "spike") for i in (35, 50, 61, 62)]
+
+
+def test_net_return_of_a_table_against_plain_reading(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/backtest_returns.parquet")
+    series_of = {}
+    for r in table.select("strategy_id", "trade_date", "net_return", "holdings_count").distinct().collect():
+        if r.strategy_id is not None and r.trade_date is not None and r.net_return is not None and r.net_return == r.net_return:
+            series_of.setdefault(r.strategy_id, set()).add((r.trade_date, r.net_return, r.holdings_count == 0))
+    want = set()
+    for key, own in series_of.items():
+        possible = [x for x in sorted(own) if -1 <= x[1] < float("inf")]
+        sizes = [abs(v) for _, v, idle in possible if v and not idle]
+        runs = [list(g) for big, g in groupby((x for x in possible if not x[2]), lambda x: abs(x[1]) > 10 * median(sizes)) if big]
+        want |= {(key, day) for run in runs if len(run) <= 2 for day, _, _ in run}
+    found = p3_reasons(spark, "/root/testdata/sf0.1").filter("field = 'net_return' and reason = 'spike'")
+    assert {(r.source_key, r.trade_date) for r in found.collect()} == want
+    assert ("strat_neutral_000009", "2025-03-25") in want
+
+
 # 4. times
 def test_times_against_plain_reading(spark):
     values = [
