@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import cut_lineage, key_upper, read_table, trimmed
+from factorloom.functions.common import cut_lineage, finite, key_upper, read_table, trimmed
 from factorloom.operators import asof, cleaning, composite, evaluation, minute, portfolio, risk, single_asset
 from factorloom.plans.compiler import compute, panel
 from factorloom.plans.factor_queries import CS, PANEL_SQL, W, daily_panel, ema_sql, prank
@@ -298,6 +298,12 @@ def pf_backtest(spark, d):
     return rounded(out, "gross_return", "turnover", "net_return", "nav_net", "drawdown_net")
 
 
+def _net_returns(spark, d):
+    """Every known net return, however large; a record delivered again counts once."""
+    r = read_table(spark, d, "backtest_returns").select(trimmed("strategy_id").alias("strategy_id"), "trade_date", finite("net_return").alias("net_return"))
+    return r.dropna(subset=["strategy_id", "net_return"]).distinct()
+
+
 def _strategy_returns(spark, d):
     r = read_table(spark, d, "backtest_returns").select(trimmed("strategy_id").alias("strategy_id"), "trade_date", "gross_return")
     return r.filter("strategy_id is not null and abs(gross_return) < 1").distinct()
@@ -337,6 +343,28 @@ def pf_benchmark(spark, d):
     return rounded(out.select("strategy_id", *names), *names)
 
 
+_SN = "sr AS (SELECT DISTINCT strategy_id, CAST(trade_date AS DATE) AS dt, net_return AS r FROM backtest_returns WHERE isfinite(net_return) AND strategy_id IS NOT NULL)"
+# a nav that has fallen to 0 or below has no annual return
+_NET_SQL = METRIC_SQL.replace(_SR, _SN).replace("pow(nv, 252.0 / trade_days)", "CASE WHEN nv > 0 THEN pow(nv, 252.0 / trade_days) END")
+
+
+@query("pf_metrics_net", _NET_SQL)
+def pf_metrics_net(spark, d):
+    out = portfolio.metrics(_net_returns(spark, d), ["strategy_id"], order="trade_date")
+    whole = {"strategy_id", "trade_days", "max_drawdown_duration", "longest_win_streak", "longest_loss_streak"}
+    return rounded(out, *[c for c in out.columns if c not in whole])
+
+
+@query("pf_benchmark_net", ORACLE_SQL["pf_benchmark"].replace(_SR, _SN))
+def pf_benchmark_net(spark, d):
+    r = _net_returns(spark, d)
+    first = r.agg(F.min("strategy_id").alias("strategy_id"))
+    bench = r.join(F.broadcast(first), "strategy_id").select("trade_date", F.col("net_return").alias("benchmark_return"))  # one strategy
+    out = portfolio.against_benchmark(r, bench, ["strategy_id"], order="trade_date")
+    names = ["benchmark_total_return", "excess_total_return", "tracking_error", "beta", "alpha"]
+    return rounded(out.select("strategy_id", *names), *names)
+
+
 # risk
 def _risk_input(f):
     return f.select("timestamp", "instrument", "value", "trend", F.col("one_step_return").alias("ret"), (F.col("open") * F.col("volume")).alias("cap"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from factorloom.operators import asof, composite, minute, portfolio, risk, single_asset
 from factorloom.operators.cleaning import clean_table
-from factorloom.plans import stubs
+from factorloom.plans import catalog, stubs
 from factorloom.plans.compiler import SIGNATURES, Plan, compile_text, compute, panel
 from factorloom.plans.dsl import DslError, columns_of, lookback
 from factorloom.sources.lake import HashMismatch, Lake
@@ -221,3 +221,17 @@ def test_threshold_machine_and_equity(spark):
     assert values(out, "equity") == [100.0, 120.0, 120.0, 150.0]
     ledger = single_asset.trade_ledger(bars.withColumn("price", F.col("close"))).collect()
     assert len(ledger) == 1 and ledger[0].bars == 2 and ledger[0].mfe == pytest.approx(0.2)
+
+
+def test_metrics_of_every_net_return(spark):
+    d = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{d}/backtest_returns.parquet").toPandas()
+    table = table[np.isfinite(table.net_return)].drop_duplicates(["strategy_id", "trade_date", "net_return"])
+    assert (table.net_return.abs() >= 1).any()
+    got = catalog.QUERIES["pf_metrics_net"](spark, d).toPandas().set_index("strategy_id")
+    bench = catalog.QUERIES["pf_benchmark_net"](spark, d).toPandas().set_index("strategy_id")
+    assert set(got.index) == set(bench.index) == set(table.strategy_id)
+    for key, own in table.groupby("strategy_id").net_return:
+        assert got.trade_days[key] == len(own)
+        assert got.best_day[key] == pytest.approx(own.max(), abs=1e-6) and got.worst_day[key] == pytest.approx(own.min(), abs=1e-6)
+        assert got.total_return[key] == pytest.approx((1 + own).prod() - 1, abs=1e-6, rel=1e-6)
