@@ -5,7 +5,7 @@ predicts each value, an innovation beyond the threshold is flagged and its updat
 after three flagged values in a row the filter starts anew at the new level. A value that both
 passes flag is a candidate; the rule of the measurement then decides. A size (a return, say) has the
 level zero, and its candidates begin at GATE of the rule's bound. Values whose innovation
-variance vanishes (the very same value again and again) are stuck.
+variance vanishes over six records are candidates for stuck ones; the very same value decides.
 
 Series are cut into tiles of records with a halo on either side, so a long series is many tasks.
 Within a task all cells run at once: one numpy step per position, over the cells of a block.
@@ -138,8 +138,30 @@ def _spikes(x: np.ndarray, m: Measure) -> np.ndarray:
     return found
 
 
+def _still(value: np.ndarray) -> np.ndarray:
+    """Mask of the values within STUCK_RUN columns over which the innovations' variance vanishes."""
+    n, length = value.shape
+    out = np.zeros((n, length), bool)
+    windows = length - STUCK_RUN + 1
+    if windows < 1:
+        return out
+    with np.errstate(invalid="ignore", over="ignore", under="ignore"):
+        power = np.diff(value, axis=1) ** 2  # the level of a stuck value is the value before
+        running = sum(power[:, k : k + windows] for k in range(STUCK_RUN - 1)) / (STUCK_RUN - 1)
+    for k in range(STUCK_RUN):
+        out[:, k : k + windows] |= running == 0
+    return out
+
+
 def _stuck(value: np.ndarray, idle: np.ndarray) -> np.ndarray:
     """Mask of the values that stand in STUCK_RUN or more columns in a row with the very same value."""
+    still = _still(value)
+    rows = still.any(axis=1)
+    still[rows] &= _same_run(value[rows], idle[rows])  # the exact rule, for candidates
+    return still
+
+
+def _same_run(value: np.ndarray, idle: np.ndarray) -> np.ndarray:
     n, length = value.shape
     same = np.zeros((n, length), bool)
     same[:, 1:] = (value[:, 1:] == value[:, :-1]) & ~idle[:, 1:] & ~idle[:, :-1]

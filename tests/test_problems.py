@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta, timezone
 from itertools import groupby
 from statistics import median
 
+import numpy as np
 import pytest
 from drift_reference import changes
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from times_reference import read
 from factorloom.functions.common import key_lower, key_upper
 from factorloom.functions.zones import estimate_zones
 from factorloom.operators.drift import consistent_table, schema_history
+from factorloom.operators import spikes
 from factorloom.operators.nearest_time import nearest_time_join
 from factorloom.operators.orphans import orphan_references
 from factorloom.operators.rolling import trailing_totals
@@ -174,8 +176,25 @@ def test_spikes_of_sizes_by_the_rule_alone(spark):
     small[60:63] = [0.095, 0.11, -0.12]  # only two in a row exceed the bound
     small[70:73] = [0.11, 0.12, 0.13]
     d = lambda n: str(date(2024, 1, 1) + timedelta(n))
-    spikes = [x for x in judged(spark, series("r", small)) if x[3] == "spike"]
-    assert spikes == [("r", "s", d(i), "spike") for i in (35, 50, 61, 62)]
+    got = [x for x in judged(spark, series("r", small)) if x[3] == "spike"]
+    assert got == [("r", "s", d(i), "spike") for i in (35, 50, 61, 62)]
+
+
+def test_stuck_candidates_by_innovations():
+    rng = np.random.default_rng(3)
+    value = rng.integers(0, 2, (400, 40)).astype(float)
+    value[rng.random(value.shape) < 0.02] = np.nan
+    value[0, :8] = [1e-200 * k for k in range(8)]  # the variance underflows, the values differ
+    idle = rng.random(value.shape) < 0.03
+    want = np.zeros(value.shape, bool)
+    for i in range(len(value)):
+        for j in range(value.shape[1] - 5):
+            if len(set(value[i, j : j + 6])) == 1 and not np.isnan(value[i, j]) and not idle[i, j : j + 6].any():
+                want[i, j : j + 6] = True
+    still = spikes._still(value)
+    assert want.any() and (still >= want).all() and not still.all() and still[0, :8].all()
+    assert (spikes._stuck(value, idle) == want).all()
+    assert not spikes._still(value[:, :5]).any()
 
 
 def test_net_return_of_a_table_against_plain_reading(spark):
