@@ -8,6 +8,7 @@ everything else that can be seen stay.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -123,12 +124,14 @@ def look_alike_classes(df: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     return d.join(classes, "look").select("doc_id", "class_id", "variants").distinct()
 
 
-def look_alike_pairs(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", most_copy_pairs: int = 10_000) -> DataFrame:
+def look_alike_pairs(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", most_copy_pairs: int = 10_000, every_pair: bool = False) -> DataFrame:
     """(doc_id_a, doc_id_b), the smaller first: documents that look the same but differ as stored.
 
     Every pair of different stored texts that look the same is linked through all their documents. If
     the copies of two texts would make more than most_copy_pairs pairs, each copy is paired with the
     first document of the other text instead; look_alike_classes gives the membership of all copies.
+    With every_pair no pair is left out: such texts' copies are salted into pieces, and the pieces of
+    the two meet in as many tasks, of at most most_copy_pairs pairs or so.
     Documents without text, id or visible character take no part.
     """
     d = _digests(df, doc_id, text).distinct()
@@ -140,7 +143,23 @@ def look_alike_pairs(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     side = lambda s: docs.select("look", F.col("stored").alias(f"stored_{s}"), F.col("doc").alias(f"doc_{s}"))
     whole = links.filter("whole").join(side("a"), ["look", "stored_a"]).join(side("b"), ["look", "stored_b"]).select(F.col("doc_a").alias("x"), F.col("doc_b").alias("y"))
     large = links.filter("not whole")
+    if every_pair:
+        edge = max(1, math.isqrt(most_copy_pairs))
+        pieces = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / edge)).cast("long")
+        large = large.select("look", "stored_a", "stored_b", pieces("n_a").alias("k_a"), pieces("n_b").alias("k_b"))
+
+        def cut(s: str, o: str) -> DataFrame:
+            """The documents of side s, each in its piece, once for every piece of side o."""
+            own = large.join(side(s), ["look", f"stored_{s}"]).withColumn(f"i_{s}", F.pmod(F.xxhash64(f"doc_{s}"), f"k_{s}"))
+            own = own.withColumn(f"i_{o}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"k_{o}") - 1)))
+            return own.select("look", "stored_a", "stored_b", "i_a", "i_b", f"doc_{s}")
+
+        met = cut("a", "b").join(cut("b", "a"), ["look", "stored_a", "stored_b", "i_a", "i_b"]).select(F.col("doc_a").alias("x"), F.col("doc_b").alias("y"))
+        return _ordered(whole.unionByName(met))
     to_first = large.join(side("a"), ["look", "stored_a"]).select(F.col("doc_a").alias("x"), F.col("first_b").alias("y"))
     from_first = large.join(side("b"), ["look", "stored_b"]).select(F.col("first_a").alias("x"), F.col("doc_b").alias("y"))
-    pairs = whole.unionByName(to_first).unionByName(from_first)
+    return _ordered(whole.unionByName(to_first).unionByName(from_first))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).filter("doc_id_a < doc_id_b").distinct()

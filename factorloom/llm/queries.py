@@ -27,7 +27,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return look_alike_pairs(read_table(spark, d, "documents"))
+    return look_alike_pairs(read_table(spark, d, "documents"), every_pair=True)
 
 
 def p9_classes(spark: SparkSession, d: str) -> DataFrame:

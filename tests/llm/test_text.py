@@ -9,6 +9,7 @@ import pytest
 from factorloom.llm.canonical import canonical_text, look_alike_classes, look_alike_pairs
 from factorloom.llm.leakage import Index, leaked_items, leaks_of, tile, words
 from factorloom.llm.mixing import mix_sources, pivotal, source_key, token_sizes
+from factorloom.llm.queries import p9_found
 
 DOCS = "doc_id long, text string, canonical string, source string, tokens string"
 
@@ -65,6 +66,18 @@ def test_look_alike_pairs_and_classes(spark):
     assert look_alike_pairs(docs(spark, [])).count() == 0
 
 
+def test_every_pair_of_many_copies(spark, tmp_path):
+    texts = {"abc": range(101), "аbc": range(200, 300), "a​bc": range(400, 403), "other": range(500, 620)}
+    rows = [(i, t) for t, ids in texts.items() for i in ids]
+    alike = [set(ids) for t, ids in texts.items() if t != "other"]
+    want = {(a, b) for x in alike for y in alike if x is not y for a in x for b in y if a < b}
+    for most in (10_000, 50, 1):
+        got = list(map(tuple, look_alike_pairs(docs(spark, rows), most_copy_pairs=most, every_pair=True).collect()))
+        assert len(got) == len(want) and set(got) == want
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert set(map(tuple, p9_found(spark, str(tmp_path)).collect())) == want
+
+
 # leakage
 def brute_tiles(a, b, n):
     """Greedy string tiling by definition: the longest unmarked match, marked, until none of n words is left."""
