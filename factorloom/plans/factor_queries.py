@@ -383,7 +383,7 @@ def f_run_many(spark: SparkSession, d: str) -> DataFrame:
     return out.select("instrument", "timestamp", *[F.round(c, 6).alias(c) for c in "abc"])
 
 
-QUERIES = {n: _query(dsl) for n, dsl in FACTORS.items()} | {"f_vec_avg": _vec("vec_avg"), "f_vec_sum": _vec("vec_sum"), "f_run_many": f_run_many}
+QUERIES = {n: _query(dsl) for n, dsl in FACTORS.items()} | {"f_ts_adosc_raw": _query(f'ts_adosc(col("high"), col("low"), {C}, {V})'), "f_vec_avg": _vec("vec_avg"), "f_vec_sum": _vec("vec_sum"), "f_run_many": f_run_many}
 ORACLE_SQL = {n: _sql(sql, stages) for n, (_, sql, stages) in SPECS.items() if sql} | {n: _recursive_sql(c, s, g) for n, (_, c, s, g) in RECURSIVE.items()}
 for _n, _f in (("avg", "list_avg"), ("sum", "list_sum")):
     ORACLE_SQL[f"f_vec_{_n}"] = f"SELECT CAST(vec_id AS VARCHAR) AS instrument, label AS timestamp, round({_f}(CAST(embedding AS DOUBLE[])), 6) AS value FROM embeddings WHERE label IS NOT NULL"

@@ -480,7 +480,7 @@ def in_holding_pnl(spark, d):
 
 @query("in_volatility_regime")
 def in_volatility_regime(spark, d):
-    return minute.volatility_regime(_ticks(spark, d).withColumn("close", F.abs("close") + 1), "close", 20, 200).select("instrument", "timestamp", "regime")
+    return minute.volatility_regime(_ticks(spark, d), "close", 20, 200).select("instrument", "timestamp", "regime")
 
 
 @query("in_downsample", f"WITH {VWAP_SQL} SELECT instrument, date, sum(volume) AS volume, arg_max(close, CASE WHEN close IS NOT NULL THEN timestamp END) AS close, round(avg(factor), 6) AS factor FROM vf GROUP BY 1, 2")
@@ -575,11 +575,11 @@ def sa_trade_ledger(spark, d):
 
 @query("sa_multi_asset_weights")
 def sa_multi_asset_weights(spark, d):
-    bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), F.least("volume", F.lit(1e7)).alias("volume"))
+    bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
     return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, adv_share=0.3, impact="square")[0]
 
 
 @query("sa_multi_asset_returns")
 def sa_multi_asset_returns(spark, d):
-    bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), F.least("volume", F.lit(1e7)).alias("volume"))
+    bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
     return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, impact="linear")[1]

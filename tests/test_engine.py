@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from factorloom.operators import asof, composite, minute, portfolio, risk, single_asset
 from factorloom.operators.cleaning import clean_table
-from factorloom.plans import catalog, stubs
+from factorloom.plans import catalog, factor_queries, research_queries, stubs
 from factorloom.plans.compiler import SIGNATURES, Plan, compile_text, compute, panel
 from factorloom.plans.dsl import DslError, columns_of, lookback
 from factorloom.sources.lake import HashMismatch, Lake
@@ -235,3 +235,39 @@ def test_metrics_of_every_net_return(spark):
         assert got.trade_days[key] == len(own)
         assert got.best_day[key] == pytest.approx(own.max(), abs=1e-6) and got.worst_day[key] == pytest.approx(own.min(), abs=1e-6)
         assert got.total_return[key] == pytest.approx((1 + own).prod() - 1, abs=1e-6, rel=1e-6)
+
+
+def test_queries_meet_the_columns_as_they_are(spark):
+    d = "/root/testdata/sf0.01"
+    p = factor_queries.daily_panel(spark, d).select("instrument", "timestamp", "high", "low", "close", "volume").toPandas().sort_values(["instrument", "timestamp"])
+    assert (p.volume > 1e7).any() and ((p.close > p.high) | (p.close < p.low)).any()
+    got = catalog.QUERIES["f_ts_adosc_raw"](spark, d).toPandas().set_index(["instrument", "timestamp"]).value
+    for key, own in p.groupby("instrument"):
+        total, fast, slow, seen, lost = 0.0, np.nan, np.nan, 0.0, False
+        for t, h, lo, c, v in own[["timestamp", "high", "low", "close", "volume"]].itertuples(index=False):
+            if h - lo > 1e-12 and v == v:
+                lost |= c != c
+                total += ((c - lo) - (h - c)) / (h - lo) * v
+            seen = max(seen, abs(total))  # sums may differ by the digits that the largest total holds
+            if not lost:  # from there on the means stay
+                fast, slow = (total if x != x else x + 2 / (n + 1) * (total - x) for x, n in ((fast, 3), (slow, 10)))
+            assert got[key, t] == pytest.approx(fast - slow, rel=1e-9, abs=1e-9 * seen + 1e-6, nan_ok=True)
+
+
+def test_portfolio_queries_see_large_volumes(spark):
+    d = "/root/testdata/sf0.01"
+    bars = research_queries._bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
+    assert bars.filter("volume > 1e7").count()
+    targets = research_queries._holdings(spark, d).withColumnRenamed("weight", "target_weight")
+    want = single_asset.multi_asset_backtest(targets, bars, adv_share=0.3, impact="square")[0].toPandas()
+    costs = single_asset.multi_asset_backtest(targets, bars, impact="linear")[1].toPandas()
+    same = lambda a, b, keys: np.testing.assert_allclose(*(x.sort_values(keys).select_dtypes("number").to_numpy(float) for x in (a, b)), rtol=1e-9)
+    same(catalog.QUERIES["sa_multi_asset_weights"](spark, d).toPandas(), want, ["instrument", "timestamp"])
+    same(catalog.QUERIES["sa_multi_asset_returns"](spark, d).toPandas(), costs, ["timestamp"])
+
+
+def test_volatility_regime_of_values_as_they_are(spark):
+    d = "/root/testdata/sf0.01"
+    want = minute.volatility_regime(research_queries._ticks(spark, d), "close", 20, 200).select("instrument", "timestamp", "regime")
+    got = catalog.QUERIES["in_volatility_regime"](spark, d)
+    assert want.filter("regime is not null").count() and not want.exceptAll(got).count()
