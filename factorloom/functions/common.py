@@ -33,39 +33,52 @@ def finite(c: Column | str) -> Column:
     return F.when(F.abs(c) < float("inf"), c)
 
 
-def source_bytes(df: DataFrame) -> int | None:
-    """The size of the tables that df is made of, as the optimizer knows it; no job runs.
+def source_bytes(df: DataFrame) -> int:
+    """The bytes of the tables that df is made of: of files and literals as the optimizer knows them, of
+    checkpoints as their files measure.
 
-    None if a part of it is unknown (data handed over from the driver or a checkpoint). Estimates of
-    whole plans are of no use here: a join counts as the product of its sides.
+    Estimates of whole plans are of no use here (a join counts as the product of its sides), nor are
+    those that a checkpoint keeps of the plan that made it. Data of unknown size (handed over from
+    the driver, say) is measured: its rows are counted.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return None if any(s >= 1 << 50 for s in sizes) else sum(sizes)
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRDD":
+            file = leaf.rdd().getCheckpointFile()
+            if file.isDefined():
+                path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+                total += path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+            else:
+                total += leaf.rdd().count() * ROW_BYTES * max(1, leaf.output().size())
+        else:
+            size = int(str(leaf.stats().sizeInBytes()))
+            total += size if size < 1 << 50 else df.count() * ROW_BYTES * max(1, len(df.columns))
+    return total
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+ROW_BYTES = 16  # of a value whose size isn't known
 
 
-def group_count(df: DataFrame, bytes_each: int = 4 << 20, least: int = 16, most: int = 1 << 20) -> int:
-    """Into how many hash groups df is to be split so that each stays near bytes_each.
+def group_count(*dfs: DataFrame, bytes_each: int = 4 << 20, least: int = 16, most: int = 1 << 20) -> int:
+    """Into how many hash groups dfs are to be split so that each stays near bytes_each of their sources."""
+    return max(least, min(most, math.ceil(sum(map(source_bytes, dfs)) / bytes_each)))
 
-    Follows the size of the source tables; where that is unknown, the session's shuffle partitions.
-    """
-    size = source_bytes(df)
-    return max(least, 4 * _shuffle_partitions(df) if size is None else min(most, math.ceil(size / bytes_each)))
+
+BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """df marked for broadcast if it has at most so many rows (they are counted), else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df marked for broadcast if it holds at most rows rows and BROADCAST_BYTES (measured), else as it is."""
+    own = F.sum(F.length(F.to_json(F.struct(*df.columns))).cast("long"))
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(own, F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 
-def task_count(df: DataFrame, groups: int, bytes_each: int = 64 << 20) -> int:
-    """Into how many tasks hash groups are to be spread: by the data's size where it is known."""
-    size = source_bytes(df)
-    return _shuffle_partitions(df) if size is None else max(min(groups, 64), min(1 << 20, -(-size // bytes_each)))
+def task_count(groups: int, *dfs: DataFrame, bytes_each: int = 64 << 20) -> int:
+    """Into how many tasks hash groups are to be spread, by the size of dfs' sources."""
+    return max(min(groups, 64), min(1 << 20, -(-sum(map(source_bytes, dfs)) // bytes_each)))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,10 +88,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder, so that a lost executor costs no recomputation.
 
-    The folder is the one in spark.checkpoint.dir; where that is unset (tests, a laptop) a
-    temporary one is made.
+    The folder is the one in spark.checkpoint.dir. Only a session within one process (tests, a laptop)
+    may leave it unset; it gets a temporary one. On a cluster that is an error, as no folder of one
+    machine serves the others.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="factorloom-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="factorloom-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()

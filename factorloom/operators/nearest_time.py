@@ -82,6 +82,8 @@ def nearest_time_join(
     crowd one moment, salted.
     """
     width = bucket_us or max(2 * tolerance_us, 1)
+    groups = group_count(left, right)
+    tasks = task_count(groups, left, right)
     side = lambda df, i, k, t: df.select(i.cast("long").alias("id"), k.alias("k"), F.unix_micros(t.cast("timestamp")).alias("t")).dropna()
     l, r = side(left, left_id, left_entity, left_time), side(right, right_id, right_entity, right_time)
     l, r = (x.withColumn("b", F.floor(F.col("t") / width)) for x in (l, r))
@@ -90,6 +92,7 @@ def nearest_time_join(
     crowded = cells.filter(most > cell_rows).select("k", "b", F.ceil(most / cell_rows).alias("cuts"))  # at most rows / cell_rows of them
     if crowded.limit(1).count():
         crowded = broadcast_if_small(crowded)
+        r = r.groupBy("k", "b", "t").agg(F.min("id").alias("id"))  # repeated times count once, before any copy is made
         sub = F.coalesce(F.floor((F.col("t") - F.col("b") * width) * F.col("cuts") / width), F.lit(0))
         l, r = (x.join(crowded, ["k", "b"], "left").withColumn("sub", sub) for x in (l, r))
         fine = _cells(l.filter("cuts is not null"), r.filter("cuts is not null"), ["k", "b", "sub"])
@@ -109,9 +112,7 @@ def nearest_time_join(
     r = r.select("k", "b", "sub", "salts", "t", "id").unionByName(margins)
     l = l.withColumn("s", F.pmod(F.xxhash64("id"), F.col("salts")))
     r = r.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-    groups = group_count(l)
     l, r = (x.select(F.pmod(F.xxhash64("k", "b", "sub", "s"), F.lit(groups)).alias("g"), "id", "k", "t") for x in (l, r))
-    tasks = task_count(l, groups)
     l, r = (x.repartition(tasks, "g") for x in (l, r))
     return l.groupBy("g").cogroup(r.groupBy("g")).applyInArrow(lambda a, b: _search(a, b, tolerance_us), RESULT)
 

@@ -110,7 +110,7 @@ def trailing_totals(
     bars = bars.withColumn("tile", F.explode(tiles))
     groups = group_count(df)
     g = F.pmod(F.xxhash64("entity", "tile"), F.lit(groups)).alias("g")
-    tasks = task_count(df, groups)
+    tasks = task_count(groups, df)
     cells = cells.select(g, cell, "entity", "tile", "first", "last")
     bars = bars.select(g, cell, "day", "volume", "close")
     fields = [pa.field("entity", pa.string()), pa.field("day", pa.int64()), pa.field("age", pa.int64())]

@@ -189,7 +189,7 @@ def run_kernels(df: DataFrame, calls: list[tuple[str, str, list[str], dict]], dr
             out = out.append_column(name, pa.array(results[name], from_pandas=True))
         return out
 
-    return keyed.repartition(task_count(df, groups), "_g").groupBy("_g").applyInArrow(run, schema)
+    return keyed.repartition(task_count(groups, df), "_g").groupBy("_g").applyInArrow(run, schema)
 
 
 def compute(df: DataFrame, factors: Mapping[str, Node | str], keep: Iterable[str] = ()) -> DataFrame:

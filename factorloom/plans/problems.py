@@ -126,7 +126,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 # 5. the nearest bar of each factor value
-def p5_nearest_bars(spark: SparkSession, d: str) -> DataFrame:
+def _nearest_bars(spark: SparkSession, d: str, **how: int) -> DataFrame:
     lake, bars = read_table(spark, d, "factor_lake"), read_table(spark, d, "daily_market_summary")
     out = nearest_time_join(
         lake,
@@ -138,10 +138,20 @@ def p5_nearest_bars(spark: SparkSession, d: str) -> DataFrame:
         right_entity=key_upper("ticker"),
         right_time=F.col("align_time"),
         tolerance_us=16 * HOUR_US,
+        **how,
     )
     return out.select(F.col("left_id").alias("lake_row_id"), F.col("right_id").alias("bar_id"), "gap_us")
 
 
+def p5_nearest_bars(spark: SparkSession, d: str) -> DataFrame:
+    return _nearest_bars(spark, d)
+
+
+def p5_crowded(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows by way of crowded cells: long buckets of few rows each, which are cut and salted."""
+    return _nearest_bars(spark, d, bucket_us=400 * 24 * HOUR_US, cell_rows=200)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_nearest_bars(spark, d).select("lake_row_id", "bar_id")
 
@@ -199,6 +209,7 @@ QUERIES = {
     "p2_per_month": p2_per_month,
     "p5_found": p5_found,
     "p5_nearest_bars": p5_nearest_bars,
+    "p5_crowded": p5_crowded,
     "p6_found": p6_found,
     "p6_trailing": p6_trailing,
 }
@@ -208,6 +219,7 @@ ORACLE_SQL = {
     "p2_per_month": f"SELECT table_name, left(seen, 7) AS month, kind, count(*) AS records FROM ({_P2}) GROUP BY 1, 2, 3",
     "p5_found": f"SELECT lake_row_id, bar_id FROM ({_P5})",
     "p5_nearest_bars": _P5,
+    "p5_crowded": _P5,
     "p6_found": f"SELECT ticker, strftime(day, '%Y-%m-%d') AS day FROM ({_P6}) WHERE age >= 30 AND 2 * volume_7 > volume_30",
     "p6_trailing": _P6,
 }
