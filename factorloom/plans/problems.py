@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factorloom.functions.common import broadcast_if_small, key_lower, key_upper, read_table
 from factorloom.operators.drift import consistent_table, schema_history
 from factorloom.operators.nearest_time import nearest_time_join
-from factorloom.operators.orphans import orphan_references
+from factorloom.operators.orphans import orphan_counts, orphan_references
 from factorloom.operators.times import normalise_times
 from factorloom.operators.spikes import Measure, implausible_values
 from factorloom.operators.rolling import trailing_totals
@@ -30,7 +30,7 @@ def _p1_table(dataset: str):
 
 
 # 2. references to records that do not exist
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
+def _orphans(spark: SparkSession, d: str, operator=orphan_references, **more) -> DataFrame:
     registry, marks, runs, summary = (read_table(spark, d, f"factor_{t}") for t in ("registry", "watermark", "evaluation_runs", "evaluation_summary"))
     # one pass for all three: keys carry the kind of their target, records the name of their table
     def refs(table: DataFrame, name: str, target: str, key: Column, record_key: Column, at: str) -> DataFrame:
@@ -46,7 +46,7 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
         .unionByName(refs(runs, "factor_evaluation_runs", "f:", factor, run, "created_at"))
         .unionByName(refs(summary, "factor_evaluation_summary", "r:", run, F.concat(run, F.lit("|"), F.col("horizon").cast("string")), "written_at"))
     )
-    found = orphan_references(
+    return operator(
         all_refs,
         lives(registry, "f:", factor).unionByName(lives(runs, "r:", run)),
         ref_key=F.col("key"),
@@ -55,17 +55,16 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
         target_key=F.col("key"),
         created=F.col("created"),
         deleted=F.col("deleted"),
+        **more,
     )
-    return found.select("record_key.*", "at", "kind")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _orphans(spark, d).select("table_name", "record_key", "kind").distinct()
+    return _orphans(spark, d).select("record_key.*", "kind").distinct()
 
 
 def p2_per_month(spark: SparkSession, d: str) -> DataFrame:
-    month = F.date_format("at", "yyyy-MM").alias("month")
-    return _orphans(spark, d).groupBy("table_name", month, "kind").agg(F.count("*").alias("records"))
+    return _orphans(spark, d, orphan_counts, by=[F.col("record_key.table_name"), F.date_format("at", "yyyy-MM").alias("month")])
 
 
 _TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"

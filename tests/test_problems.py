@@ -107,7 +107,23 @@ def test_orphans_against_brute_force(spark):
     assert sorted(orphans(spark, refs, lives), key=key) == sorted(want, key=key)
     heavy = [("a", day(n % 250), None) for n in range(1500)]
     more = {("a", at, "late" if all(c > at for k, c, _, _ in lives if clean(k) == "a") else "deleted") for _, at, _ in heavy if not any(clean(k) == "a" and c <= at and (e is None or at < e) for k, c, e, _ in lives)}
-    assert sorted(orphans(spark, refs + heavy, lives, heavy_share=0.1), key=key) == sorted(want | more, key=key)
+    for how in ({"heavy_share": 0.1}, {"heavy_share": 0.1, "cell_rows": 3}, {"heavy_share": 2.0, "cell_rows": 3}, {"heavy_share": 0.0}):
+        assert sorted(orphans(spark, refs + heavy, lives, **how), key=key) == sorted(want | more, key=key)
+
+
+def test_orphans_of_a_heavy_key(spark):
+    n = 100_000
+    refs = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.concat(F.lit("light"), F.col("id") % 2000)).otherwise("hot").alias("k"), F.col("id").alias("n"), F.timestamp_seconds(F.col("id") * 1000).alias("at"))
+    lives = spark.createDataFrame([("hot", 1_000_000, 2_000_000), ("hot", 1_500_000, 50_000_000), ("hot", 60_000_000, None), ("light0", 5_000, 7_000), ("light0", 90_000_000, None)], "k string, c long, d long")
+    out = orphan_references(refs, lives, ref_key=F.col("k"), record_key=F.col("n"), at=F.col("at"), target_key=F.col("k"), created=F.timestamp_seconds("c"), deleted=F.timestamp_seconds("d"), heavy_share=0.1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+    got = {r.kind: r.n for r in out.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    of = lambda k, t: "missing" if k not in ("hot", "light0") else ("late" if t < (1_000_000 if k == "hot" else 5_000) else "deleted")
+    alive = lambda k, t: (k == "hot" and (1_000_000 <= t < 50_000_000 or t >= 60_000_000)) or (k == "light0" and (5_000 <= t < 7_000 or t >= 90_000_000))
+    rows = [("hot" if i % 10 else f"light{i % 2000}", i * 1000) for i in range(n)]
+    want = [of(k, t) for k, t in rows if not alive(k, t)]
+    assert got == {k: want.count(k) for k in set(want)}
 
 
 def test_orphans_of_empty_tables(spark):
