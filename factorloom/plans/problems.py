@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import broadcast_if_small, key_lower, key_upper, read_table
+from factorloom.functions.common import broadcast_if_small, cut_lineage, key_lower, key_upper, read_table
+from factorloom.functions.zones import estimate_zones, known_zones
 from factorloom.operators.drift import consistent_table, schema_history
 from factorloom.operators.nearest_time import nearest_time_join
 from factorloom.operators.orphans import orphan_counts, orphan_references
-from factorloom.operators.times import normalise_times
+from factorloom.operators.times import normalise_times, read_times
 from factorloom.operators.spikes import Measure, implausible_values
 from factorloom.operators.rolling import trailing_totals
 
@@ -112,14 +113,32 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 # 4. one instant per time
-def p4_times(spark: SparkSession, d: str) -> DataFrame:
-    raw = read_table(spark, d, "raw_times").select("record_id", "source", "time_column", "raw_value")
+def _raw_times(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The times as received with their source's configuration, and the zones of the sources that have none."""
+    raw = read_table(spark, d, "raw_times").select("record_id", "source", "time_column", "raw_value").withColumn("key", key_lower("source"))
     config = read_table(spark, d, "source_config").select(key_lower("source").alias("key"), "time_format", "timezone").dropDuplicates(["key"])
-    raw = raw.withColumn("key", key_lower("source")).join(broadcast_if_small(config), "key", "left")
-    out = normalise_times(raw, raw=F.col("raw_value"), time_format=F.col("time_format"), zone=F.col("timezone"))
+    raw = raw.join(broadcast_if_small(config), "key", "left")
+    # UTC stands for an unknown zone, unless the order of the records speaks for another zone in use
+    named = sorted({r[0] for r in config.select("timezone").distinct().collect() if r[0]} & set(known_zones(config).values()))
+    is_unknown = F.coalesce(key_lower("timezone"), F.lit("unknown")) == "unknown"
+    read = read_times(raw.filter(is_unknown), raw=F.col("raw_value"), time_format=F.col("time_format"), close=F.lit(False)).filter("__time_zone is null")
+    moment = lambda c: F.timestamp_micros(F.col(c))
+    zones = estimate_zones(read, source=F.col("key"), local=moment("__time_local"), fixed=moment("__time_fixed"), sequence=F.col("record_id"), candidates=["UTC", *named])
+    return raw, cut_lineage(zones)  # a row per source without a zone
+
+
+def p4_times(spark: SparkSession, d: str) -> DataFrame:
+    raw, zones = _raw_times(spark, d)
+    raw = raw.join(broadcast_if_small(zones.select(F.col("source").alias("key"), F.col("zone").alias("estimated"))), "key", "left")
+    out = normalise_times(raw, raw=F.col("raw_value"), time_format=F.col("time_format"), zone=F.col("timezone"), default_zone=F.coalesce("estimated", F.lit("UTC")))
     return out.select("record_id", "source", "time_column", "time_form", "utc_micros")
 
 
+def p4_zones(spark: SparkSession, d: str) -> DataFrame:
+    """The zone estimated for each source without one, its violations and records."""
+    return _raw_times(spark, d)[1]
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_times(spark, d).filter("utc_micros is not null").select("record_id", "utc_micros")
 
@@ -202,6 +221,7 @@ QUERIES = {
     "p1_filing_risk_factors": _p1_table("filing_risk_factors"),
     "p4_found": p4_found,
     "p4_times": p4_times,
+    "p4_zones": p4_zones,
     "p3_found": p3_found,
     "p3_reasons": p3_reasons,
     "p2_found": p2_found,
