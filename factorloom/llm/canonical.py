@@ -1,26 +1,32 @@
 """One form for texts that look the same, by DuckDB inside Arrow partitions.
 
 All rules are one SQL expression, built below from tables of fixed values: line breaks and spaces to
-one kind each, invisible characters away, full-width and joined letters to plain ones, look-alike
-letters of other scripts to Latin, and composed accents (NFC). Case, digits, the number of spaces and
+one kind each, invisible characters away, compatibility forms (widths, fonts, joined letters) to plain
+ones, look-alike letters of other scripts to Latin, and composed accents (NFC). Case, digits, the number of spaces and
 everything else that can be seen stay.
 """
 
 from __future__ import annotations
 
-import math
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
 import duckdb
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorloom.functions.common import cut_lineage
+
 # Letters of other scripts and the Latin letters that look the same.
-CYRILLIC = ("аеорсухѕіјһԁԛԝӏАВЕКМНОРСТУХЅІЈԚԜӀ", "aeopcyxsijhdqwlABEKMHOPCTYXSIJQWI")
-GREEK = ("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "oABEZHIKMNOPTYX")
+CYRILLIC = ("аеорсухѕіјһԁԛԝӏүѵԍАВЕКМНОРСТУХЅІЈԚԜӀҮѴԌ", "aeopcyxsijhdqwlyvGABEKMHOPCTYXSIJQWIYVG")
+GREEK = ("ονρΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovpABEZHIKMNOPTYX")
+ARMENIAN = ("օհսՕ", "ohuO")
+CHEROKEE = ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᏔᏃ", "ABCDEGHJKLMPRSTVWZ")
+LISU = ("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ")
+LATIN = ("ɑɡ", "ag")
+LOOK_ALIKES = [CYRILLIC, GREEK, ARMENIAN, CHEROKEE, LISU, LATIN]
 # Characters that are not seen, as a class of DuckDB's regular expressions.
 INVISIBLE = (
     r"[\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180f}\x{200b}-\x{200f}\x{202a}-\x{202e}"
@@ -31,20 +37,35 @@ BREAKS = r"\r\n|[\r\x0b\x0c\x{85}\x{2028}\x{2029}]"
 SPACES = "\t               　"
 # Hyphens that look like the ASCII one.
 HYPHENS = "‐‑"
-# Ranges of full-width and half-width forms, and of joined letters.
-WIDTH_FORMS = [(0xFF01, 0xFF5E), (0xFF61, 0xFFDC), (0xFFE0, 0xFFEE)]
-JOINED = [(0xFB00, 0xFB06), (0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3)]
+# Compatibility forms that look like what they stand for: other widths, fonts and positions. Those
+# that can be told from it (superscripts, circled and fractional ones) stay.
+SAME_LOOK = ("<wide>", "<narrow>", "<font>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>")
+# Ranges of joined letters, Roman numerals and squared units.
+JOINED = [(0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3), (0x2160, 0x217F), (0x3371, 0x33DF), (0xFB00, 0xFB06)]
+
+
+@cache
+def _compatibility() -> tuple[dict[str, str], dict[str, str]]:
+    """The compatibility forms of one plain character, and those of several."""
+    one, several = {}, {}
+    joined = {chr(c) for a, b in JOINED for c in range(a, b + 1)}
+    for c in map(chr, [*range(0xA0, 0xD800), *range(0xF900, 0x20000)]):
+        tag = unicodedata.decomposition(c).split(" ")[0]
+        plain = unicodedata.normalize("NFKC", c)
+        if plain == c or c in SPACES or not (tag in SAME_LOOK or (c in joined and plain.isascii() and plain.isalpha())):
+            continue
+        if len(plain) == 1:
+            one[c] = plain
+        elif c in joined:
+            several[c] = plain
+    return one, several
 
 
 def _translation() -> tuple[str, str]:
     """The characters that become one other character each, and those."""
     to = dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-")
-    for a, b in WIDTH_FORMS:
-        for c in map(chr, range(a, b + 1)):
-            plain = unicodedata.normalize("NFKC", c)
-            if plain != c and len(plain) == 1:
-                to[c] = plain
-    look = dict(zip(*CYRILLIC)) | dict(zip(*GREEK))
+    look = {a: b for x in LOOK_ALIKES for a, b in zip(*x)}
+    to |= {c: look.get(plain, plain) for c, plain in _compatibility()[0].items() if c not in to}
     to |= look
     for c in map(chr, range(0x370, 0x530)):  # accented letters whose base looks Latin
         base, *marks = unicodedata.normalize("NFD", c)
@@ -62,10 +83,12 @@ def _quoted(s: str) -> str:
 @cache
 def canonical_sql(column: str) -> str:
     """The DuckDB expression of column's canonical form."""
-    e = f"regexp_replace(regexp_replace({column}, '{BREAKS}', chr(10), 'g'), '{INVISIBLE}', '', 'g')"
-    for a, b in JOINED:
-        for c in map(chr, range(a, b + 1)):
-            e = f"replace({e}, {_quoted(c)}, {_quoted(unicodedata.normalize('NFKC', c))})"
+    several = _compatibility()[1]
+    plain = column
+    for c, letters in several.items():
+        plain = f"replace({plain}, {_quoted(c)}, {_quoted(letters)})"
+    plain = f"CASE WHEN regexp_matches({column}, '[{''.join(several)}]') THEN {plain} ELSE {column} END"  # few texts need the many
+    e = f"regexp_replace(regexp_replace({plain}, '{BREAKS}', chr(10), 'g'), '{INVISIBLE}', '', 'g')"
     old, new = _translation()
     return f"nfc_normalize(translate({e}, {_quoted(old)}, {_quoted(new)}))"
 
@@ -113,52 +136,52 @@ def _digests(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def look_alike_classes(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id, variants): each document with the smallest doc_id that looks like it.
+    """(doc_id, class_id, variants, links): each document with the smallest doc_id that looks like it.
 
-    variants is the number of different stored texts in the class. Exact copies share a class.
-    Documents without a visible character or without id take no part.
+    variants is the number of different stored texts in the class, links that of its documents with
+    another stored text. Exact copies share a class. Documents without a visible character or without
+    id take no part; repeated rows count once.
     """
-    d = _digests(df, doc_id, text)
-    texts = d.groupBy("look", "stored").agg(F.min("doc_id").alias("first"))
-    classes = texts.groupBy("look").agg(F.min("first").alias("class_id"), F.count("*").alias("variants"))
-    return d.join(classes, "look").select("doc_id", "class_id", "variants").distinct()
+    d = cut_lineage(_digests(df, doc_id, text).distinct())
+    texts = d.groupBy("look", "stored").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    classes = texts.groupBy("look").agg(F.min("first").alias("class_id"), F.count("*").alias("variants"), F.sum("n").alias("all"))
+    own = texts.join(classes, "look").select("look", "stored", "class_id", "variants", (F.col("all") - F.col("n")).alias("links"))
+    return d.join(own, ["look", "stored"]).select("doc_id", "class_id", "variants", "links")
 
 
-def look_alike_pairs(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", most_copy_pairs: int = 10_000, every_pair: bool = False) -> DataFrame:
+def look_alike_pairs(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", every_pair: bool = False, piece_rows: int = 100) -> DataFrame:
     """(doc_id_a, doc_id_b), the smaller first: documents that look the same but differ as stored.
 
-    Every pair of different stored texts that look the same is linked through all their documents. If
-    the copies of two texts would make more than most_copy_pairs pairs, each copy is paired with the
-    first document of the other text instead; look_alike_classes gives the membership of all copies.
-    With every_pair no pair is left out: such texts' copies are salted into pieces, and the pieces of
-    the two meet in as many tasks, of at most most_copy_pairs pairs or so.
+    Each stored text stands for its copies by its first document, and is linked to the first document of
+    its class: as many rows as there are texts; look_alike_classes gives the membership of all documents.
+    With every_pair all pairs of documents come out. Then texts of one look, and after them the copies of
+    two texts, are hashed into pieces of about piece_rows, and every two pieces meet in a task of their
+    own, so that neither a look nor a text gathers anywhere.
     Documents without text, id or visible character take no part.
     """
-    d = _digests(df, doc_id, text).distinct()
+    d = cut_lineage(_digests(df, doc_id, text).distinct())  # each text is read once
     texts = d.groupBy("look", "stored").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    texts = texts.withColumn("variants", F.count("*").over(Window.partitionBy("look"))).filter("variants > 1")
-    a, b = (texts.select("look", *[F.col(c).alias(f"{c}_{s}") for c in ("stored", "first", "n")]) for s in "ab")
-    links = a.join(b, "look").filter("stored_a < stored_b").withColumn("whole", F.col("n_a") * F.col("n_b") <= most_copy_pairs)
-    docs = d.select("look", "stored", F.col("doc_id").alias("doc"))
-    side = lambda s: docs.select("look", F.col("stored").alias(f"stored_{s}"), F.col("doc").alias(f"doc_{s}"))
-    whole = links.filter("whole").join(side("a"), ["look", "stored_a"]).join(side("b"), ["look", "stored_b"]).select(F.col("doc_a").alias("x"), F.col("doc_b").alias("y"))
-    large = links.filter("not whole")
-    if every_pair:
-        edge = max(1, math.isqrt(most_copy_pairs))
-        pieces = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / edge)).cast("long")
-        large = large.select("look", "stored_a", "stored_b", pieces("n_a").alias("k_a"), pieces("n_b").alias("k_b"))
-
-        def cut(s: str, o: str) -> DataFrame:
-            """The documents of side s, each in its piece, once for every piece of side o."""
-            own = large.join(side(s), ["look", f"stored_{s}"]).withColumn(f"i_{s}", F.pmod(F.xxhash64(f"doc_{s}"), f"k_{s}"))
-            own = own.withColumn(f"i_{o}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"k_{o}") - 1)))
-            return own.select("look", "stored_a", "stored_b", "i_a", "i_b", f"doc_{s}")
-
-        met = cut("a", "b").join(cut("b", "a"), ["look", "stored_a", "stored_b", "i_a", "i_b"]).select(F.col("doc_a").alias("x"), F.col("doc_b").alias("y"))
-        return _ordered(whole.unionByName(met))
-    to_first = large.join(side("a"), ["look", "stored_a"]).select(F.col("doc_a").alias("x"), F.col("first_b").alias("y"))
-    from_first = large.join(side("b"), ["look", "stored_b"]).select(F.col("first_a").alias("x"), F.col("doc_b").alias("y"))
-    return _ordered(whole.unionByName(to_first).unionByName(from_first))
+    classes = texts.groupBy("look").agg(F.count("*").alias("variants"), F.min("first").alias("class_id")).filter("variants > 1")
+    texts = texts.join(classes, "look")
+    if not every_pair:
+        return texts.filter("first <> class_id").select(F.col("class_id").alias("doc_id_a"), F.col("first").alias("doc_id_b"))
+    pieces = lambda n: F.ceil(F.col(n) / piece_rows).cast("long")
+
+    def cut(df: DataFrame, by: str, own: str, other: str) -> DataFrame:
+        """df with its piece i_own out of k_own, once for every piece i_other of the other side."""
+        df = df.withColumn(f"i_{own}", F.pmod(F.xxhash64(by), F.col(f"k_{own}")))
+        return df.withColumn(f"i_{other}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"k_{other}") - 1)))
+
+    side = lambda s: texts.select("look", F.col("stored").alias(f"stored_{s}"), F.col("n").alias(f"n_{s}"), pieces("variants").alias("k_a"), pieces("variants").alias("k_b"))
+    a, b = cut(side("a"), "stored_a", "a", "b").drop("k_a", "k_b"), cut(side("b"), "stored_b", "b", "a").drop("k_a", "k_b")
+    links = a.join(b, ["look", "i_a", "i_b"]).filter("stored_a < stored_b").select("look", "stored_a", "stored_b", pieces("n_a").alias("k_a"), pieces("n_b").alias("k_b"))
+
+    def copies(s: str, o: str) -> DataFrame:
+        docs = d.select("look", F.col("stored").alias(f"stored_{s}"), F.col("doc_id").alias(f"doc_{s}"))
+        return cut(links.join(docs, ["look", f"stored_{s}"]), f"doc_{s}", s, o).drop("k_a", "k_b")
+
+    met = copies("a", "b").join(copies("b", "a"), ["look", "stored_a", "stored_b", "i_a", "i_b"])
+    return _ordered(met.select(F.col("doc_a").alias("x"), F.col("doc_b").alias("y")))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

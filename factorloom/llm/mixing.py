@@ -26,14 +26,15 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK, FAN = 20_000, 256
+MOST_SOURCES = 10_000  # of a mixture
+MOST_RANKS = 64 << 20  # bytes of a tokenizer's file
 EPS = 1e-9
 
 
 @cache
-def tokenizer(path: str) -> tiktoken.Encoding:
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+def tokenizer(ranks: bytes) -> tiktoken.Encoding:
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def source_key(c: Column | str) -> Column:
@@ -42,11 +43,19 @@ def source_key(c: Column | str) -> Column:
 
 
 def token_sizes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", ranks: str = RANKS) -> DataFrame:
-    """(doc_id, source, tokens): the size of each whole text in tokens; null and empty texts have none."""
+    """(doc_id, source, tokens): the size of each whole text in tokens; null and empty texts have none.
+
+    ranks is the path of the tokenizer's file on the driver, which hands its content to the workers.
+    """
+    with open(ranks, "rb") as f:
+        content = f.read(MOST_RANKS + 1)
+    if len(content) > MOST_RANKS:
+        raise ValueError(f"{ranks} is no file of ranks")
+    content = docs.sparkSession.sparkContext.broadcast(content)
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), source_key(source).alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(ranks).encode_ordinary
+        encode = tokenizer(content.value).encode_ordinary
         for b in batches:
             n = pa.array([len(encode(t)) for t in b.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), n], names=["doc_id", "source", "tokens"])
@@ -55,22 +64,22 @@ def token_sizes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
 
 def pivotal(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """p with all but at most one entry rounded to 0 or 1; sum(p * size) and each expectation stay."""
+    """p with all but at most one entry rounded to 0 or 1; sum(p * size) and each expectation stay.
+
+    All open entries meet in pairs at once; of each pair at least one closes, so log2(n) rounds do.
+    """
     p = p.astype(float).copy()
-    open_ = np.nonzero((p > EPS) & (p < 1 - EPS))[0]
-    draws = rng.random(len(open_))
-    held = -1
-    for k, j in enumerate(open_):
-        if held < 0:
-            held = j
-            continue
-        i, w, u = held, size[held], size[j]
-        up, down = min((1 - p[i]) * w, p[j] * u), min(p[i] * w, (1 - p[j]) * u)
-        mass = up if draws[k] * (up + down) < down else -down
+    is_open = lambda at: at[(p[at] > EPS) & (p[at] < 1 - EPS)]
+    left = is_open(np.arange(len(p)))
+    while len(left) > 1:
+        half = len(left) // 2
+        i, j = left[:half], left[half : 2 * half]
+        w, u = size[i], size[j]
+        up, down = np.minimum((1 - p[i]) * w, p[j] * u), np.minimum(p[i] * w, (1 - p[j]) * u)
+        mass = np.where(rng.random(half) * (up + down) < down, up, -down)
         p[i] += mass / w
         p[j] -= mass / u
-        rest = [x for x in (i, j) if EPS < p[x] < 1 - EPS]
-        held = rest[0] if rest else -1
+        left = np.concatenate([is_open(i), is_open(j), left[2 * half :]])
     whole = (p <= EPS) | (p >= 1 - EPS)
     p[whole] = np.round(p[whole])
     return p
@@ -79,12 +88,15 @@ def pivotal(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
 ROW = "doc_id long, source string, tokens long, base long, p double, node long"
 
 
-def _round_chunk(seed: int):
+def _round_chunk(seed: int, last: bool):
     def run(key: tuple, t: pa.Table) -> pa.Table:
         source, node = (k.as_py() for k in key)
         t = t.take(pc.sort_indices(t, [("doc_id", "ascending"), ("tokens", "ascending"), ("p", "ascending")]))
         rng = np.random.default_rng([seed, node, *source.encode()])
         p = pivotal(t["p"].to_numpy(), t["tokens"].to_numpy().astype(float), rng)
+        if last:  # of a source's last open record there is nothing to pair with
+            rest = np.nonzero((p > 0) & (p < 1))[0]
+            p[rest] = rng.random(len(rest)) < p[rest]
         return t.set_column(t.schema.get_field_index("p"), "p", pa.array(p))
 
     return run
@@ -92,10 +104,12 @@ def _round_chunk(seed: int):
 
 def plan_shares(docs: DataFrame, targets: DataFrame, sizes: DataFrame, total_tokens: int | None = None) -> list[dict]:
     """Per source of targets: what there is, and the expected copies of each record (rate)."""
-    have = {r.source: r for r in sizes.filter("tokens > 0").join(F.broadcast(targets.select("source")), "source").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records")).collect()}
-    rows = targets.collect()
-    if len(rows) > 10_000:
-        raise ValueError("more than 10000 sources in a mixture")
+    rows = targets.limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources in a mixture")
+    wanted = docs.sparkSession.createDataFrame([(r.source,) for r in rows], "source string")
+    have = sizes.filter("tokens > 0").join(F.broadcast(wanted), "source").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records"))
+    have = {r.source: r for r in have.collect()}  # a row per source of the targets
     live = [r for r in rows if r.source in have and r.target_share > 0 and r.max_repeats > 0]
     share = sum(r.target_share for r in live)
     most = min((r.max_repeats * have[r.source].tokens / (r.target_share / share) for r in live), default=0.0)
@@ -137,7 +151,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None
     width = max([-(-x["records"] // CHUNK) for x in plan if x["rate"]], default=1)
     done, left = [], rows
     while True:
-        left = cut_lineage(left.groupBy("source", "node").applyInArrow(_round_chunk(seed), ROW))
+        left = cut_lineage(left.groupBy("source", "node").applyInArrow(_round_chunk(seed, width == 1), ROW))
         if width == 1:
             break
         open_ = (F.col("p") > 0) & (F.col("p") < 1)
@@ -145,9 +159,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None
         left = left.filter(open_).withColumn("node", F.floor(F.col("node") / FAN).cast("long"))
         width = -(-width // FAN)
         seed += 1
-    # the last record of each source: one draw, the same in every run
-    draw = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-    out = left.withColumn("p", F.when((F.col("p") > 0) & (F.col("p") < 1), (draw < F.col("p")).cast("double")).otherwise(F.col("p")))
+    out = left
     for x in done:
         out = out.unionByName(x)
     out = out.select("doc_id", "source", "tokens", (F.col("base") + F.round("p").cast("long")).alias("copies")).filter("copies > 0")

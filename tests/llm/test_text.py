@@ -4,10 +4,13 @@ import random
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from factorloom.llm.canonical import canonical_text, look_alike_classes, look_alike_pairs
-from factorloom.llm.leakage import Index, leaked_items, leaks_of, tile, words
+from factorloom.llm.canonical import run_sql
+from factorloom.llm.leakage import leaked_items, matches, tile, windows, words_sql
 from factorloom.llm.mixing import mix_sources, pivotal, source_key, token_sizes
 from factorloom.llm.queries import p9_found
 
@@ -54,16 +57,24 @@ def test_canonical_of_odd_texts(spark):
 
 def test_look_alike_pairs_and_classes(spark):
     rows = [(1, "abc"), (2, "аbc"), (3, "abc"), (4, "a​bc"), (5, "ABC"), (6, None), (7, " "), (8, " "), (9, ""), (10, "x"), (11, "x"), (None, "аbс")]
-    got = sorted(map(tuple, look_alike_pairs(docs(spark, rows)).collect()))
-    assert got == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
-    few = sorted(map(tuple, look_alike_pairs(docs(spark, rows), most_copy_pairs=1).collect()))
-    assert few == got  # one side has one document, so its first is all of it
-    classes = {r.doc_id: (r.class_id, r.variants) for r in look_alike_classes(docs(spark, rows)).collect()}
-    assert classes == {1: (1, 3), 2: (1, 3), 3: (1, 3), 4: (1, 3), 5: (5, 1), 10: (10, 1), 11: (10, 1)}
+    for piece in (100, 1):
+        got = sorted(map(tuple, look_alike_pairs(docs(spark, rows), every_pair=True, piece_rows=piece).collect()))
+        assert got == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
+    assert sorted(map(tuple, look_alike_pairs(docs(spark, rows)).collect())) == [(1, 2), (1, 4)]
+    classes = {r.doc_id: (r.class_id, r.variants, r.links) for r in look_alike_classes(docs(spark, rows)).collect()}
+    assert classes == {1: (1, 3, 2), 2: (1, 3, 3), 3: (1, 3, 2), 4: (1, 3, 3), 5: (5, 1, 0), 10: (10, 1, 0), 11: (10, 1, 0)}
     many = [(i, "abc") for i in range(40)] + [(100 + i, "аbc") for i in range(40)]
-    assert look_alike_pairs(docs(spark, many)).count() == 1600
-    assert look_alike_pairs(docs(spark, many), most_copy_pairs=100).count() == 79
-    assert look_alike_pairs(docs(spark, [])).count() == 0
+    assert look_alike_pairs(docs(spark, many), every_pair=True).count() == 1600
+    assert look_alike_pairs(docs(spark, many)).count() == 1
+    assert look_alike_pairs(docs(spark, [])).count() == 0 and look_alike_classes(docs(spark, [])).count() == 0
+
+
+def test_variants_of_one_text_in_linear_rows(spark):
+    n = 100_000
+    text = F.concat(F.lit("a"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.when(F.getbit("id", k) == 1, "\u200b").otherwise("\u200c")), ""), F.lit("b"))
+    df = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert look_alike_pairs(df).count() == n - 1
+    assert look_alike_classes(df).filter(f"variants = {n} and links = {n - 1} and class_id = 0").count() == n
 
 
 def test_every_pair_of_many_copies(spark, tmp_path):
@@ -71,8 +82,8 @@ def test_every_pair_of_many_copies(spark, tmp_path):
     rows = [(i, t) for t, ids in texts.items() for i in ids]
     alike = [set(ids) for t, ids in texts.items() if t != "other"]
     want = {(a, b) for x in alike for y in alike if x is not y for a in x for b in y if a < b}
-    for most in (10_000, 50, 1):
-        got = list(map(tuple, look_alike_pairs(docs(spark, rows), most_copy_pairs=most, every_pair=True).collect()))
+    for piece in (100, 7):
+        got = list(map(tuple, look_alike_pairs(docs(spark, rows), piece_rows=piece, every_pair=True).collect()))
         assert len(got) == len(want) and set(got) == want
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert set(map(tuple, p9_found(spark, str(tmp_path)).collect())) == want
@@ -98,22 +109,60 @@ def brute_tiles(a, b, n):
             ma[at[0] + k] = mb[at[1] + k] = True
 
 
+def places(text, n):
+    """Positions of each window of n words."""
+    out = {}
+    for i in range(len(text) - n + 1):
+        out.setdefault(tuple(text[i : i + n]), []).append(i)
+    return {k: np.array(v) for k, v in out.items()}
+
+
 def test_tiling_against_brute_force():
     rng = random.Random(7)
-    for _ in range(300):
-        item = [rng.choice("abcdefgh") for _ in range(rng.randrange(4, 25))]
-        doc = [rng.choice("abcdefghxyz") for _ in range(rng.randrange(0, 30))]
+    for k in range(400):
+        letters = "abcdefgh" if k % 2 else "ab"  # the latter repeats itself
+        item = [rng.choice(letters) for _ in range(rng.randrange(4, 25))]
+        doc = [rng.choice(letters + "xyz") for _ in range(rng.randrange(0, 30))]
         cut = rng.randrange(len(item))
         doc[3:3] = item[cut:] + item[:cut]
-        index = Index([(1, " ".join(item))], 3)
-        ids = [index.vocabulary.get(w, 0) for w in doc]
-        seeds = [(d, i) for d in range(len(ids) - 2) for i in range(len(item) - 2) if 0 not in ids[d : d + 3] and ids[d : d + 3] == index.items[0][1][i : i + 3]]
-        got = tile(ids, index.items[0][1], seeds, 3)
-        want = brute_tiles(doc, item, 3)
-        assert got[:1] == want[:1] and sorted(got, reverse=True) == got
-        assert (not got) == (not want)
-        found = leaks_of(" ".join(doc), index, 3, 1.0)
-        assert bool(found) == bool(want) and (not found or found[0][3] == want[0])
+        found = matches(places(doc, 3), places(item, 3), 3)
+        for length, d, i in found:
+            assert doc[d : d + length] == item[i : i + length]
+        got, want = tile(found, 3), brute_tiles(doc, item, 3)
+        assert got[:1] == want[:1] and sorted(got, reverse=True) == got and sum(got) <= len(item)
+
+
+def test_matches_of_repetitive_texts():
+    doc, item = ["w"] * 8000, ["w"] * 200
+    found = matches(places(doc, 12), places(item, 12), 12)
+    assert len(found) < 8300 and tile(found, 12) == [200]
+
+
+def test_windows_by_hash():
+    words = np.array([1, 2, 3, 1, 2, 3, 9, 1, 2, 3], np.uint64)
+    text, at, h1, h2 = windows(words, np.array([4, 0, 6]), 3)
+    assert text.tolist() == [0, 0, 2, 2, 2, 2] and at.tolist() == [0, 1, 0, 1, 2, 3]
+    assert h1[0] == h1[5] and h2[0] == h2[5] and len({*h1.tolist()}) == 5
+    assert len(windows(words, np.array([10]), 11)[0]) == 0
+
+
+def test_recall_of_reordered_passages(spark):
+    """Items cut into passages that come in another order, with other words between them."""
+    rng = random.Random(11)
+    items = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/eval_items.parquet").orderBy("item_id").select("text").collect()]
+    planted, rows = [], []
+    for k, text in enumerate(items):
+        w = text.split()
+        cuts = [w[i : i + 9] for i in range(0, len(w) // 9 * 9, 9)]
+        if len(cuts) < 2:
+            continue
+        rng.shuffle(cuts)
+        planted.append(k)
+        rows.append((k, " ".join(" ".join([*c, f"between{rng.random()}"]) for c in cuts)))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaked_items(docs(spark, rows), table, shortest_tile=5, least_run=12, least_coverage=0.5).collect()}
+    recall = sum((k, k) in got for k in planted) / len(planted)
+    assert len(planted) > 100 and recall >= 0.9, recall
 
 
 ITEM = " ".join(f"w{i}" for i in range(30))
@@ -126,15 +175,16 @@ def test_leaked_items(spark):
     items = spark.createDataFrame([(1, ITEM, 0), (2, None, 0), (3, "too short", 0), (4, f"q {part} q", 0)], "item_id int, text string, doc_id int")
     got = sorted((r.doc_id, r.item_id) for r in leaked_items(docs(spark, rows), items).collect())
     assert got == [(d, i) for d in (1, 3, 8) for i in (1, 4)]
-    blocks = sorted((r.doc_id, r.item_id) for r in leaked_items(docs(spark, rows), items, block_items=1).collect())
-    assert blocks == got
+    salted = sorted((r.doc_id, r.item_id) for r in leaked_items(docs(spark, rows), items, hot_rows=1).collect())
+    assert salted == got
     more = {(r.doc_id, r.item_id): r for r in leaked_items(docs(spark, rows), items, shortest_tile=5, least_run=12, least_coverage=0.6).collect()}
     assert more[4, 1].tiles == 2 and more[4, 1].matched_words == 20 and more[4, 1].coverage == pytest.approx(2 / 3)
     assert leaked_items(docs(spark, []), items).count() == 0 and leaked_items(docs(spark, rows), items.limit(0)).count() == 0
 
 
 def test_words():
-    assert words("It's A_b, 中文2 é!") == ["it", "s", "a", "b", "中文2", "é"]
+    batch = pa.table({"text": ["It's A_b, 中文2 é!", "...", ""]})
+    assert run_sql(batch, f"SELECT {words_sql('text')} AS w FROM batch")["w"].to_pylist() == [["it", "s", "a", "b", "中文2", "é"], [], []]
 
 
 # mixing
