@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import group_count
+from factorloom.functions.common import group_count, task_count
 from factorloom.functions.ops import INST, TS, R, W, clip, div, gate, nonzero, pct_rank
 from factorloom.operators.evaluation import correlation, cumulative
 
 # Bounds of the session's parts as HHMM.
 OPEN_START, OPEN_END, CLOSE_START, SESSION_END = 930, 1000, 1530, 1600
+RANK_BLOCK = 2048  # windows that are ranked at once
 
 
 def day_of(df: DataFrame) -> DataFrame:
@@ -79,8 +80,7 @@ def session_label(ts: Column) -> Column:
 def rolling_rank(df: DataFrame, column: str, d: int, out: str) -> DataFrame:
     """Average rank of each known value among the last d known ones, over d; null until there are d.
 
-    Long frames are ranked in numpy, a sorted window sliding along each instrument: one binary search
-    and one shift a bar instead of a pass over the frame.
+    Frames are ranked in numpy: views sliding along each instrument, RANK_BLOCK bars at a time.
     """
     schema = df.schema.add(out, "double")
     groups = group_count(df, bytes_each=16 << 20)
@@ -90,21 +90,19 @@ def rolling_rank(df: DataFrame, column: str, d: int, out: str) -> DataFrame:
         code = t[INST].combine_chunks().dictionary_encode().indices.to_numpy()
         x = t[column].to_numpy().astype(float)
         res = np.full(len(x), np.nan)
-        for i in np.unique(code):
-            at = np.nonzero((code == i) & ~np.isnan(x))[0]
-            if len(at) < d:
-                continue
-            window = np.sort(x[at[: d - 1]])
-            for k in range(d - 1, len(at)):
-                v = x[at[k]]
-                window = np.insert(window, np.searchsorted(window, v), v)
-                lo, hi = np.searchsorted(window, v, "left"), np.searchsorted(window, v, "right")
-                res[at[k]] = (lo + 1 + hi) / 2 / d
-                window = np.delete(window, np.searchsorted(window, x[at[k - d + 1]]))
+        known = np.nonzero(~np.isnan(x))[0]
+        starts = np.flatnonzero(np.r_[True, np.diff(code[known]) != 0]) if len(known) else np.array([], int)
+        for a, b in zip(starts, [*starts[1:], len(known)]):
+            at = known[a:b]
+            for lo in range(0, len(at) - d + 1, RANK_BLOCK):
+                own = x[at[lo : lo + RANK_BLOCK + d - 1]]
+                window = np.lib.stride_tricks.sliding_window_view(own, d)
+                v = window[:, -1:]
+                res[at[lo + d - 1 : lo + d - 1 + len(window)]] = ((window < v).sum(axis=1) + 1 + (window <= v).sum(axis=1)) / 2 / d
         return t.append_column(out, pa.array(res, from_pandas=True))
 
     keyed = df.withColumn("_g", F.pmod(F.xxhash64(INST), F.lit(groups)))
-    return keyed.groupBy("_g").applyInArrow(run, schema)
+    return keyed.repartition(task_count(groups, df), "_g").groupBy("_g").applyInArrow(run, schema)
 
 
 def volatility_regime(df: DataFrame, price: str, d: int = 120, rank_over: int = 7200, low: float = 1 / 3, high: float = 2 / 3) -> DataFrame:
@@ -114,7 +112,7 @@ def volatility_regime(df: DataFrame, price: str, d: int = 120, rank_over: int =
     df = df.withColumn("_vol", gate(F.stddev_samp("_r").over(R(d)), F.col("_r"), R(d), d)).drop("_r")
     df = rolling_rank(df, "_vol", rank_over, "_p").drop("_vol")
     p = F.col("_p")
-    return df.withColumn("regime", F.when(p.isNotNull(), F.when(p <= low, "LV").when(p <= high, "MV").otherwise("HV"))).drop("_p")
+    return df.withColumn("regime", F.when(p.isNotNull(), F.when(p < low, "LV").when(p >= high, "HV").otherwise("MV"))).drop("_p")
 
 
 def layer_groups(df: DataFrame, column: str, n: int, d: int) -> DataFrame:
@@ -161,13 +159,14 @@ def holding_pnl(df: DataFrame, price: str, n: int, horizon: int, fee_rate: float
         code = t[INST].combine_chunks().dictionary_encode().indices.to_numpy()
         g = t["group"].to_numpy().astype(float)
         pos = np.zeros(len(g))
-        for i in np.unique(code):
-            at = np.nonzero(code == i)[0]
-            before = np.r_[np.nan, g[at][:-1]]
-            pos[at] = capped_positions(before == n, before == 1, horizon)
+        starts = np.flatnonzero(np.r_[True, np.diff(code) != 0]) if len(code) else np.array([], int)
+        for a, b in zip(starts, [*starts[1:], len(code)]):
+            before = np.r_[np.nan, g[a : b - 1]]
+            pos[a:b] = capped_positions(before == n, before == 1, horizon)
         return t.append_column("net_position", pa.array(pos))
 
-    out = df.withColumn("_g", F.pmod(F.xxhash64(INST), F.lit(groups))).groupBy("_g").applyInArrow(run, schema)
+    keyed = df.withColumn("_g", F.pmod(F.xxhash64(INST), F.lit(groups))).repartition(task_count(groups, df), "_g")
+    out = keyed.groupBy("_g").applyInArrow(run, schema)
     step = F.abs(F.col("net_position") - F.coalesce(F.lag("net_position").over(W()), F.lit(0.0)))
     out = out.withColumn("transaction_cost", step * fee_rate)
     out = out.withColumn("pnl", F.coalesce(F.col("net_position") * (div(F.lead(price).over(W()), F.col(price)) - 1), F.lit(0.0)) - F.col("transaction_cost"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorloom.functions.common import broadcast_if_small, cut_lineage
@@ -12,6 +12,10 @@ from factorloom.functions.ops import TS, div, nonzero
 from factorloom.operators.evaluation import cumulative
 
 
+# The columns of backtest that the figures of turnover, exposure, cost and coverage sum up.
+BACKTEST_COLUMNS = ["turnover", "holdings_count", "long_exposure", "short_exposure", "net_exposure", "gross_exposure", "trading_cost", "holding_cells", "valid_holding_cells", "asset_return_coverage"]
+
+
 def allocate(signal: DataFrame, *, long_budget: float = 0.5, short_budget: float = 0.5, by_score: bool = True, floor: float = 1e-12, gross: float | None = None) -> DataFrame:
     """timestamp, instrument and weight of the selected rows: each side shares its budget equally or by |score|.
 
@@ -85,46 +89,62 @@ def backtest(holdings: DataFrame, prices: DataFrame, *, window: int = 1, cost_ra
     return out.withColumns({f"drawdown_{x}": F.col(f"nav_{x}") / F.max(f"nav_{x}").over(run) - 1 for x in ("gross", "net")})
 
 
-def _streak(df: DataFrame, keys: Sequence[str], order: str, flag: Column) -> DataFrame:
-    """keys and the longest run of rows with flag."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    df = df.withColumn("_f", flag.cast("int")).withColumn("_island", F.row_number().over(w) - F.row_number().over(Window.partitionBy(*keys, "_f").orderBy(order)))
-    runs = df.groupBy(*keys, "_f", "_island").agg(F.count("*").alias("n"))
-    return runs.groupBy(*keys).agg(F.max(F.when(F.col("_f") == 1, F.col("n")).otherwise(0)).alias("longest"))
-
-
-def metrics(returns: DataFrame, keys: Sequence[str], *, order: str = "timestamp", net: str = "net_return", per_year: int = 252) -> DataFrame:
+def metrics(returns: DataFrame, keys: Sequence[str], *, order: str = "timestamp", net: str = "net_return", gross: str | None = None, per_year: int = 252) -> DataFrame:
     """One row of performance figures per key of daily net returns: see the column names.
 
     Missing returns are left out. Figures that divide by nothing are null: volatility ratios with a
     deviation under 1e-12 or fewer than two (losing) days, a profit-loss ratio without wins or losses.
-    var_95 is the 5 % quantile (linear), cvar_95 the mean of the days at or under it.
+    var_95 is the 5 % quantile (linear), cvar_95 the mean of the days at or under it. With gross, the
+    gross returns' column, come the figures of gross returns, and those of the columns of backtest:
+    turnover, exposures, cost and coverage.
+
+    All is one window stage over a key's days and one aggregate: streaks are distances to the last day
+    that breaks them, weeks and months are counted on their last day.
     """
     keys = list(keys)
-    df = returns.select(*keys, F.col(order).cast("date").alias("_d"), F.col(net).alias("r")).filter("r is not null and not isnan(r)")
-    w = Window.partitionBy(*keys).orderBy("_d", "r")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_i", F.row_number().over(w)).withColumn("nav", F.product(1 + F.col("r")).over(run)).withColumn("dd", F.col("nav") / F.max("nav").over(run) - 1)
+    extra = [gross, *BACKTEST_COLUMNS] if gross else []
+    df = returns.select(*keys, F.col(order).cast("date").alias("_d"), F.col(net).alias("r"), *[F.col(c).alias(f"_{c}") for c in extra]).filter("r is not null and not isnan(r)")
     part = Window.partitionBy(*keys)
-    df = df.withColumn("_var", F.percentile("r", F.lit(0.05)).over(part)).withColumn("_top", F.row_number().over(part.orderBy(F.desc("r"), "_i")))
+    w = part.orderBy("_d", "r")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_i", F.row_number().over(w)).withColumn("nav", F.product(1 + F.col("r")).over(run))
+    if gross:
+        df = df.withColumn("_g", F.coalesce(F.col(f"_{gross}"), F.lit(0.0))).withColumn("_gnav", F.product(1 + F.col("_g")).over(run))
+        df = df.withColumn("_gdd", F.col("_gnav") / F.max("_gnav").over(run) - 1)
+    df = df.withColumn("dd", F.col("nav") / F.max("nav").over(run) - 1)
     r, n, sd = F.col("r"), F.count("*"), F.stddev_samp("r")
+    flags = {"max_drawdown_duration": F.col("dd") < 0, "longest_win_streak": r > 0, "longest_loss_streak": r < 0}
+    units = {"weekly_win_rate": "week", "monthly_win_rate": "month"}
+    for name, flag in flags.items():
+        df = df.withColumn(f"_{name}", F.col("_i") - F.coalesce(F.max(F.when(~flag, F.col("_i"))).over(run), F.lit(0)))
+    for name, unit in units.items():
+        p = F.date_trunc(unit, "_d")
+        df = df.withColumn(f"_{name}", F.when(F.coalesce(F.lead(p).over(w) != p, F.lit(True)), F.product(1 + r).over(Window.partitionBy(*keys, p))))
+    df = df.withColumn("_var", F.percentile("r", F.lit(0.05)).over(part)).withColumn("_top", F.row_number().over(part.orderBy(F.desc("r"), "_i")))
     loss = F.when(r < 0, r)
     year = float(per_year) ** 0.5
     sized = lambda x, s: F.when(F.abs(s) >= 1e-12, x / s)
-    out = df.groupBy(*keys).agg(
-        n.alias("trade_days"), (F.max_by("nav", "_i") - 1).alias("total_return"), F.when(F.max_by("nav", "_i") > 0, F.pow(F.max_by("nav", "_i"), per_year / n) - 1).alias("annual_return"),
+    end = lambda c: F.max_by(c, "_i")
+    annual = lambda nav: F.when(nav > 0, F.pow(nav, per_year / n) - 1)
+    aggs = [
+        n.alias("trade_days"), (end("nav") - 1).alias("total_return"), annual(end("nav")).alias("annual_return"),
         (sd * year).alias("annual_volatility"), sized(F.avg("r") * year, sd).alias("sharpe"), F.when(F.count(loss) > 1, sized(F.avg("r") * year, F.stddev_samp(loss))).alias("sortino"),
         F.min("dd").alias("max_drawdown"), F.avg((r > 0).cast("double")).alias("daily_win_rate"), F.avg("r").alias("avg_daily_return"), F.percentile("r", F.lit(0.5)).alias("median_daily_return"),
         F.max("r").alias("best_day"), F.min("r").alias("worst_day"), F.when(F.count(loss) > 1, F.stddev_samp(loss) * year).alias("downside_volatility"), F.max("_var").alias("var_95"),
         F.avg(F.when(r <= F.col("_var"), r)).alias("cvar_95"), F.try_divide(F.avg(F.when(r > 0, r)), F.when(F.abs(F.avg(loss)) >= 1e-12, F.abs(F.avg(loss)))).alias("profit_loss_ratio"),
         F.try_divide(F.sum(F.when(F.col("_top") <= 5, r)), F.when(F.sum(F.when(r > 0, r)) > 0, F.sum(F.when(r > 0, r)))).alias("top5_day_pnl_contribution"),
-    ).withColumn("calmar", F.when(F.abs("max_drawdown") >= 1e-12, F.col("annual_return") / F.abs("max_drawdown")))
-    for name, flag in {"max_drawdown_duration": F.col("dd") < 0, "longest_win_streak": r > 0, "longest_loss_streak": r < 0}.items():
-        out = out.join(_streak(df, keys, "_i", flag).withColumnRenamed("longest", name), keys)
-    for name, unit in {"weekly_win_rate": "week", "monthly_win_rate": "month"}.items():
-        periods = df.groupBy(*keys, F.date_trunc(unit, "_d").alias("_p")).agg(F.product(1 + r).alias("x"))
-        out = out.join(periods.groupBy(*keys).agg(F.avg((F.col("x") > 1).cast("double")).alias(name)), keys)
-    return out
+        *[F.max(f"_{name}").alias(name) for name in flags], *[F.avg((F.col(f"_{name}") > 1).cast("double")).alias(name) for name in units],
+    ]
+    if gross:
+        g = F.stddev_samp("_g")
+        aggs += [
+            (end("_gnav") - 1).alias("gross_total_return"), annual(end("_gnav")).alias("gross_annual_return"), (g * year).alias("gross_annual_volatility"), sized(F.avg("_g") * year, g).alias("gross_sharpe"),
+            F.min("_gdd").alias("gross_max_drawdown"), F.avg("_turnover").alias("avg_turnover"), F.percentile("_turnover", F.lit(0.5)).alias("median_turnover"), F.max("_turnover").alias("max_turnover"),
+            F.avg("_holdings_count").alias("avg_holding_count"), *[F.avg(f"_{x}_exposure").alias(f"avg_{x}_exposure") for x in ("long", "short", "net", "gross")], F.sum("_trading_cost").alias("total_trading_cost"),
+            (end("_gnav") - end("nav")).alias("cost_drag"), F.try_divide(F.sum("_valid_holding_cells").cast("double"), F.sum("_holding_cells")).alias("effective_asset_return_ratio"),
+            F.avg("_asset_return_coverage").alias("avg_daily_asset_return_coverage"),
+        ]
+    return df.groupBy(*keys).agg(*aggs).withColumn("calmar", F.when(F.abs("max_drawdown") >= 1e-12, F.col("annual_return") / F.abs("max_drawdown")))
 
 
 def against_benchmark(returns: DataFrame, benchmark: DataFrame, keys: Sequence[str], *, order: str = "timestamp", net: str = "net_return", per_year: int = 252) -> DataFrame:

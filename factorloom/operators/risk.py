@@ -95,8 +95,11 @@ def total_risk(holdings: DataFrame, exposures: DataFrame, factors: Sequence[str]
     holdings: timestamp, instrument, weight; exposures: timestamp, instrument and factors.
     """
     df = holdings.join(exposures, [TS, "instrument"], "left").join(specific, "instrument", "left")
+    # a name without a specific variance has the median of its date's
+    median = F.percentile("specific_var", F.lit(0.5)).over(Window.partitionBy(TS))
+    df = df.withColumn("specific_var", F.coalesce("specific_var", median, F.lit(0.0)))
     agg = [F.sum(F.col("weight") * F.coalesce(F.col(f), F.lit(0.0))).alias(f"_x{i}") for i, f in enumerate(factors)]
-    out = df.groupBy(TS).agg(*agg, F.sum(F.col("weight") ** 2 * F.coalesce("specific_var", F.lit(0.0))).alias("specific_var"))
+    out = df.groupBy(TS).agg(*agg, F.sum(F.col("weight") ** 2 * F.col("specific_var")).alias("specific_var"))
     quad = sum((F.col(f"_x{i}") * F.col(f"_x{j}") * float(covariance[i, j]) for i in range(len(factors)) for j in range(len(factors))), F.lit(0.0))
     return out.select(TS, quad.alias("factor_var"), "specific_var", F.sqrt((quad + F.col("specific_var")) * per_year).alias("annual_risk"))
 

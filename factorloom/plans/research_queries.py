@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factorloom.functions.common import cut_lineage, finite, key_upper, read_table, trimmed
 from factorloom.operators import asof, cleaning, composite, evaluation, minute, portfolio, risk, single_asset
 from factorloom.plans.compiler import compute, panel
-from factorloom.plans.factor_queries import CS, PANEL_SQL, W, daily_panel, ema_sql, prank
+from factorloom.plans.factor_queries import ALL, CS, PANEL_SQL, W, daily_panel, ema_sql, prank
 from factorloom.sources.lake import merge_new
 from factorloom.sources.panels import composite_panel
 
@@ -269,10 +269,10 @@ def pf_holdings(spark, d):
     return rounded(_holdings(spark, d), "weight")
 
 
-@query("pf_exposures", f"WITH {HOLD_SQL} SELECT timestamp, count(CASE WHEN weight <> 0 THEN 1 END) AS holdings_count, round(sum(greatest(weight, 0)), 6) AS long_exposure, round(sum(greatest(-weight, 0)), 6) AS short_exposure, round(abs(sum(weight)), 6) AS net_exposure, round(sum(abs(weight)), 6) AS gross_exposure FROM hold GROUP BY 1")
+@query("pf_exposures", f"WITH {HOLD_SQL} SELECT timestamp, count(CASE WHEN weight <> 0 THEN 1 END) AS holdings_count, round(sum(greatest(weight, 0)), 6) AS long_exposure, round(sum(greatest(-weight, 0)), 6) AS short_exposure, round(sum(weight), 6) + 0.0 AS net_exposure, round(sum(abs(weight)), 6) AS gross_exposure FROM hold GROUP BY 1")
 def pf_exposures(spark, d):
-    out = portfolio.exposures(_holdings(spark, d)).withColumn("net_exposure", F.abs("net_exposure"))
-    return rounded(out, "long_exposure", "short_exposure", "net_exposure", "gross_exposure")
+    out = rounded(portfolio.exposures(_holdings(spark, d)), "long_exposure", "short_exposure", "net_exposure", "gross_exposure")
+    return out.withColumn("net_exposure", F.col("net_exposure") + 0.0)
 
 
 BT_SQL = f"""{HOLD_SQL}, hd AS (SELECT timestamp, lead(timestamp) OVER (ORDER BY timestamp) AS nx FROM (SELECT DISTINCT timestamp FROM hold)),
@@ -304,12 +304,14 @@ def _net_returns(spark, d):
     return r.dropna(subset=["strategy_id", "net_return"]).distinct()
 
 
-def _strategy_returns(spark, d):
-    r = read_table(spark, d, "backtest_returns").select(trimmed("strategy_id").alias("strategy_id"), "trade_date", "gross_return")
-    return r.filter("strategy_id is not null and abs(gross_return) < 1").distinct()
+def _strategy_days(spark, d):
+    """All that is known of each strategy's days with a net return; a record delivered again counts once."""
+    names = ["net_return", "gross_return", *portfolio.BACKTEST_COLUMNS]
+    r = read_table(spark, d, "backtest_returns").select(trimmed("strategy_id").alias("strategy_id"), "trade_date", *[finite(c).alias(c) for c in names])
+    return r.dropna(subset=["strategy_id", "net_return"]).groupBy("strategy_id", "trade_date", "net_return").agg(*[F.max(c).alias(c) for c in names[1:]])
 
 
-_SR = "sr AS (SELECT DISTINCT strategy_id, CAST(trade_date AS DATE) AS dt, gross_return AS r FROM backtest_returns WHERE abs(gross_return) < 1)"
+_SR = "sr AS (SELECT DISTINCT strategy_id, CAST(trade_date AS DATE) AS dt, net_return AS r FROM backtest_returns WHERE isfinite(net_return) AND strategy_id IS NOT NULL)"
 _STREAK = lambda f, n: f"(SELECT strategy_id, max(CASE WHEN f THEN n ELSE 0 END) AS {n} FROM (SELECT strategy_id, f, isl, count(*) AS n FROM (SELECT strategy_id, {f} AS f, row_number() OVER (PARTITION BY strategy_id ORDER BY dt, r) - row_number() OVER (PARTITION BY strategy_id, {f} ORDER BY dt, r) AS isl FROM m2) GROUP BY 1, 2, 3) GROUP BY 1)"
 METRIC_SQL = f"""WITH {_SR}, m1 AS (SELECT *, product(1 + r) OVER w AS nav, row_number() OVER w AS i, quantile_cont(r, 0.05) OVER (PARTITION BY strategy_id) AS va, row_number() OVER (PARTITION BY strategy_id ORDER BY r DESC, dt) AS tp FROM sr WINDOW w AS (PARTITION BY strategy_id ORDER BY dt, r)),
 m2 AS (SELECT *, nav / max(nav) OVER (PARTITION BY strategy_id ORDER BY dt, r) - 1 AS dd FROM m1),
@@ -317,52 +319,51 @@ m3 AS (SELECT strategy_id, count(*) AS trade_days, arg_max(nav, i) AS nv, avg(r)
   max(r) AS best_day, min(r) AS worst_day, max(va) AS var_95, avg(r) FILTER (WHERE r <= va) AS cvar_95, avg(r) FILTER (WHERE r > 0) AS aw, avg(r) FILTER (WHERE r < 0) AS al, sum(r) FILTER (WHERE tp <= 5) AS t5, sum(r) FILTER (WHERE r > 0) AS ps FROM m2 GROUP BY 1),
 wk AS (SELECT strategy_id, avg(CASE WHEN x > 1 THEN 1.0 ELSE 0.0 END) AS weekly_win_rate FROM (SELECT strategy_id, date_trunc('week', dt) AS p, product(1 + r) AS x FROM sr GROUP BY 1, 2) GROUP BY 1),
 mo AS (SELECT strategy_id, avg(CASE WHEN x > 1 THEN 1.0 ELSE 0.0 END) AS monthly_win_rate FROM (SELECT strategy_id, date_trunc('month', dt) AS p, product(1 + r) AS x FROM sr GROUP BY 1, 2) GROUP BY 1)
-SELECT strategy_id, trade_days, round(nv - 1, 6) AS total_return, round(pow(nv, 252.0 / trade_days) - 1, 6) AS annual_return, round(sd * sqrt(252), 6) AS annual_volatility, round(m / nullif(sd, 0) * sqrt(252), 6) AS sharpe, round(m / nullif(sl, 0) * sqrt(252), 6) AS sortino,
+SELECT strategy_id, trade_days, round(nv - 1, 6) AS total_return, round(CASE WHEN nv > 0 THEN pow(nv, 252.0 / trade_days) END - 1, 6) AS annual_return, round(sd * sqrt(252), 6) AS annual_volatility, round(m / nullif(sd, 0) * sqrt(252), 6) AS sharpe, round(m / nullif(sl, 0) * sqrt(252), 6) AS sortino,
   round(max_drawdown, 6) AS max_drawdown, round(daily_win_rate, 6) AS daily_win_rate, round(m, 6) AS avg_daily_return, round(median_daily_return, 6) AS median_daily_return, round(best_day, 6) AS best_day, round(worst_day, 6) AS worst_day, round(sl * sqrt(252), 6) AS downside_volatility,
-  round(var_95, 6) AS var_95, round(cvar_95, 6) AS cvar_95, round(aw / nullif(abs(al), 0), 6) AS profit_loss_ratio, round(t5 / nullif(ps, 0), 6) AS top5_day_pnl_contribution, round((pow(nv, 252.0 / trade_days) - 1) / nullif(abs(max_drawdown), 0), 6) AS calmar,
+  round(var_95, 6) AS var_95, round(cvar_95, 6) AS cvar_95, round(aw / nullif(abs(al), 0), 6) AS profit_loss_ratio, round(t5 / nullif(ps, 0), 6) AS top5_day_pnl_contribution, round((CASE WHEN nv > 0 THEN pow(nv, 252.0 / trade_days) END - 1) / nullif(abs(max_drawdown), 0), 6) AS calmar,
   max_drawdown_duration, longest_win_streak, longest_loss_streak, round(weekly_win_rate, 6) AS weekly_win_rate, round(monthly_win_rate, 6) AS monthly_win_rate
 FROM m3 JOIN wk USING (strategy_id) JOIN mo USING (strategy_id) JOIN {_STREAK("dd < 0", "max_drawdown_duration")} a USING (strategy_id) JOIN {_STREAK("r > 0", "longest_win_streak")} b USING (strategy_id) JOIN {_STREAK("r < 0", "longest_loss_streak")} c USING (strategy_id)"""
 
 
-@query("pf_metrics", METRIC_SQL)
-def pf_metrics(spark, d):
-    out = portfolio.metrics(_strategy_returns(spark, d), ["strategy_id"], order="trade_date", net="gross_return")
-    whole = {"strategy_id", "trade_days", "max_drawdown_duration", "longest_win_streak", "longest_loss_streak"}
-    return rounded(out, *[c for c in out.columns if c not in whole])
-
-
-@query("pf_benchmark", f"""WITH {_SR}, bm AS (SELECT dt, max(r) AS b FROM sr WHERE strategy_id = (SELECT min(strategy_id) FROM sr) GROUP BY 1), x AS (SELECT strategy_id, dt, r, coalesce(b, 0) AS b FROM sr LEFT JOIN bm USING (dt))
-SELECT strategy_id, round(product(1 + b) - 1, 6) AS benchmark_total_return, round(product(1 + r - b) - 1, 6) AS excess_total_return, round(stddev_samp(r - b) * sqrt(252), 6) AS tracking_error,
-  round(CASE WHEN count(*) > 2 AND var_samp(b) >= 1e-12 THEN covar_samp(r, b) / var_samp(b) END, 6) AS beta, round(CASE WHEN count(*) > 2 AND var_samp(b) >= 1e-12 THEN (avg(r) - covar_samp(r, b) / var_samp(b) * avg(b)) * 252 END, 6) AS alpha FROM x GROUP BY 1""")
-def pf_benchmark(spark, d):
-    r = _strategy_returns(spark, d)
-    first = r.agg(F.min("strategy_id").alias("strategy_id"))
-    bench = r.join(F.broadcast(first), "strategy_id").select("trade_date", F.col("gross_return").alias("benchmark_return"))  # one strategy
-    out = portfolio.against_benchmark(r, bench, ["strategy_id"], order="trade_date", net="gross_return")
-    names = ["benchmark_total_return", "excess_total_return", "tracking_error", "beta", "alpha"]
-    return rounded(out.select("strategy_id", *names), *names)
+WHOLE = {"strategy_id", "trade_days", "max_drawdown_duration", "longest_win_streak", "longest_loss_streak"}
+_MAXES = ", ".join(f"max(CASE WHEN isfinite({c}) THEN {c} END) AS {c}" for c in ["gross_return", *portfolio.BACKTEST_COLUMNS])
+FULL_SQL = f"""WITH fd AS (SELECT strategy_id, CAST(trade_date AS DATE) AS dt, net_return AS r, {_MAXES} FROM backtest_returns WHERE isfinite(net_return) AND strategy_id IS NOT NULL GROUP BY ALL),
+f1 AS (SELECT *, coalesce(gross_return, 0) AS g, product(1 + coalesce(gross_return, 0)) OVER w AS gnav, product(1 + r) OVER w AS nav, row_number() OVER w AS i FROM fd WINDOW w AS (PARTITION BY strategy_id ORDER BY dt, r)),
+f2 AS (SELECT *, gnav / max(gnav) OVER (PARTITION BY strategy_id ORDER BY i) - 1 AS gdd FROM f1),
+f3 AS (SELECT strategy_id, round(arg_max(gnav, i) - 1, 6) AS gross_total_return, round(CASE WHEN arg_max(gnav, i) > 0 THEN pow(arg_max(gnav, i), 252.0 / count(*)) - 1 END, 6) AS gross_annual_return, round(stddev_samp(g) * sqrt(252), 6) AS gross_annual_volatility,
+  round(avg(g) * sqrt(252) / nullif(stddev_samp(g), 0), 6) AS gross_sharpe, round(min(gdd), 6) AS gross_max_drawdown, round(avg(turnover), 6) AS avg_turnover, round(median(turnover), 6) AS median_turnover, round(max(turnover), 6) AS max_turnover, round(avg(holdings_count), 6) AS avg_holding_count,
+  round(avg(long_exposure), 6) AS avg_long_exposure, round(avg(short_exposure), 6) AS avg_short_exposure, round(avg(net_exposure), 6) AS avg_net_exposure, round(avg(gross_exposure), 6) AS avg_gross_exposure, round(sum(trading_cost), 6) AS total_trading_cost,
+  round(arg_max(gnav, i) - arg_max(nav, i), 6) AS cost_drag, round(sum(valid_holding_cells) / nullif(sum(holding_cells), 0), 6) AS effective_asset_return_ratio, round(avg(asset_return_coverage), 6) AS avg_daily_asset_return_coverage FROM f2 GROUP BY 1)
+SELECT * FROM ({METRIC_SQL}) JOIN f3 USING (strategy_id)"""
 
 
-_SN = "sr AS (SELECT DISTINCT strategy_id, CAST(trade_date AS DATE) AS dt, net_return AS r FROM backtest_returns WHERE isfinite(net_return) AND strategy_id IS NOT NULL)"
-# a nav that has fallen to 0 or below has no annual return
-_NET_SQL = METRIC_SQL.replace(_SR, _SN).replace("pow(nv, 252.0 / trade_days)", "CASE WHEN nv > 0 THEN pow(nv, 252.0 / trade_days) END")
+@query("pf_metrics", FULL_SQL)
+def pf_metrics(spark, d):
+    """All 40 figures, over every day with a net return."""
+    out = portfolio.metrics(_strategy_days(spark, d), ["strategy_id"], order="trade_date", gross="gross_return")
+    return rounded(out, *[c for c in out.columns if c not in WHOLE])
 
 
-@query("pf_metrics_net", _NET_SQL)
+@query("pf_metrics_net", METRIC_SQL)
 def pf_metrics_net(spark, d):
     out = portfolio.metrics(_net_returns(spark, d), ["strategy_id"], order="trade_date")
-    whole = {"strategy_id", "trade_days", "max_drawdown_duration", "longest_win_streak", "longest_loss_streak"}
-    return rounded(out, *[c for c in out.columns if c not in whole])
+    return rounded(out, *[c for c in out.columns if c not in WHOLE])
 
 
-@query("pf_benchmark_net", ORACLE_SQL["pf_benchmark"].replace(_SR, _SN))
-def pf_benchmark_net(spark, d):
+_BENCH = f"""{_SR}, bm AS (SELECT dt, max(r) AS b FROM sr WHERE strategy_id = (SELECT min(strategy_id) FROM sr) GROUP BY 1), x AS (SELECT strategy_id, dt, r, coalesce(b, 0) AS b FROM sr LEFT JOIN bm USING (dt)),
+bx AS (SELECT strategy_id, count(*) AS n, product(1 + b) AS bn, product(1 + r - b) AS xn, stddev_samp(r - b) AS sx, avg(r - b) AS mx, CASE WHEN count(*) > 2 AND var_samp(b) >= 1e-12 THEN covar_samp(r, b) / var_samp(b) END AS beta, avg(r) AS mr, avg(b) AS mb FROM x GROUP BY 1)"""
+
+
+@query("pf_benchmark", f"""WITH {_BENCH} SELECT strategy_id, round(bn - 1, 6) AS benchmark_total_return, round(xn - 1, 6) AS excess_total_return, round(CASE WHEN xn > 0 THEN pow(xn, 252.0 / n) - 1 END, 6) AS excess_annual_return, round(sx * sqrt(252), 6) AS tracking_error,
+  round(CASE WHEN sx * sqrt(252) > 1e-12 AND xn > 0 THEN (pow(xn, 252.0 / n) - 1) / (sx * sqrt(252)) END, 6) AS information_ratio, round(CASE WHEN sx >= 1e-12 THEN mx / sx * sqrt(252) END, 6) AS excess_sharpe, round(beta, 6) AS beta, round((mr - beta * mb) * 252, 6) AS alpha FROM bx""")
+def pf_benchmark(spark, d):
+    """All 8 figures against the first strategy, over every net return."""
     r = _net_returns(spark, d)
     first = r.agg(F.min("strategy_id").alias("strategy_id"))
     bench = r.join(F.broadcast(first), "strategy_id").select("trade_date", F.col("net_return").alias("benchmark_return"))  # one strategy
     out = portfolio.against_benchmark(r, bench, ["strategy_id"], order="trade_date")
-    names = ["benchmark_total_return", "excess_total_return", "tracking_error", "beta", "alpha"]
-    return rounded(out.select("strategy_id", *names), *names)
+    return rounded(out, *[c for c in out.columns if c != "strategy_id"])
 
 
 # risk
@@ -478,7 +479,13 @@ def in_holding_pnl(spark, d):
     return rounded(minute.holding_pnl(_grouped(spark, d), "close", 5, 3, 0.0001).select("instrument", "timestamp", "net_position", "pnl"), "pnl")
 
 
-@query("in_volatility_regime")
+REGIME_SQL = f"""{TICKS}, rg0 AS (SELECT instrument, timestamp, CASE WHEN close / nullif(lag(close) {_IW}, 0) > 0 THEN ln(close / nullif(lag(close) {_IW}, 0)) END AS lr FROM tk),
+rg1 AS (SELECT instrument, timestamp, CASE WHEN count(lr) {_R20} >= 20 THEN stddev_samp(lr) {_R20} END AS vol FROM rg0),
+rg2 AS (SELECT instrument, timestamp, vol, list(vol) OVER (PARTITION BY instrument ORDER BY timestamp ROWS 199 PRECEDING) AS a FROM rg1 WHERE vol IS NOT NULL),
+rg3 AS (SELECT instrument, timestamp, CASE WHEN len(a) = 200 THEN (len(list_filter(a, lambda v: v < vol)) + 1 + len(list_filter(a, lambda v: v <= vol))) / 2.0 / 200 END AS p FROM rg2)"""
+
+
+@query("in_volatility_regime", f"WITH {REGIME_SQL} SELECT tk.instrument, tk.timestamp, CASE WHEN p < 1 / 3.0 THEN 'LV' WHEN p >= 2 / 3.0 THEN 'HV' WHEN p IS NOT NULL THEN 'MV' END AS regime FROM tk LEFT JOIN rg3 USING (instrument, timestamp)")
 def in_volatility_regime(spark, d):
     return minute.volatility_regime(_ticks(spark, d), "close", 20, 200).select("instrument", "timestamp", "regime")
 
@@ -493,32 +500,55 @@ def _bars(spark, d):
     return daily_panel(spark, d).withColumn("price", F.col("open"))
 
 
-@query("sa_dual_ma", f"""WITH {PANEL_SQL}, s0 AS (SELECT instrument, timestamp, rn, CASE WHEN count(open) OVER a >= 10 AND count(open) OVER b >= 30 THEN (avg(open) OVER a - avg(open) OVER b) / nullif(avg(open) OVER b, 0) END AS g FROM q
-  WINDOW a AS (PARTITION BY instrument ORDER BY timestamp ROWS 9 PRECEDING), b AS (PARTITION BY instrument ORDER BY timestamp ROWS 29 PRECEDING))
-SELECT instrument, timestamp, round(tanh(g / CASE WHEN count(g) OVER c >= 20 THEN nullif(stddev_samp(g) OVER c, 0) END), 6) AS signal FROM s0 WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 19 PRECEDING)""")
+_SQUASH = lambda x, d: f"CASE WHEN {d} IS NOT NULL THEN tanh({x} / greatest({d}, 1e-8)) END"
+MA_SQL = f"""s0 AS (SELECT instrument, timestamp, rn, CASE WHEN count(open) OVER a >= 5 AND count(open) OVER b >= 20 THEN (avg(open) OVER a - avg(open) OVER b) / nullif(avg(open) OVER b, 0) END AS g FROM q
+  WINDOW a AS (PARTITION BY instrument ORDER BY timestamp ROWS 4 PRECEDING), b AS (PARTITION BY instrument ORDER BY timestamp ROWS 19 PRECEDING)),
+s1 AS (SELECT *, CASE WHEN count(g) OVER c >= 20 THEN stddev_samp(g) OVER c END AS sd FROM s0 WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 39 PRECEDING)),
+ms AS (SELECT instrument, timestamp, rn, {_SQUASH("g", "sd")} AS signal FROM s1)"""
+
+
+@query("sa_dual_ma", f"WITH {PANEL_SQL}, {MA_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal FROM ms")
 def sa_dual_ma(spark, d):
     return rounded(single_asset.dual_ma_signal(_bars(spark, d), price="price"), "signal")
 
 
-@query("sa_macd_signal", f"""WITH RECURSIVE {PANEL_SQL}, {ema_sql([("f", "open", "(2.0 / 13)"), ("s", "open", "(2.0 / 27)"), ("g", "f - s", "(2.0 / 10)")])}, h AS (SELECT *, f - s - g AS h FROM e)
-SELECT instrument, timestamp, round(tanh(h / CASE WHEN count(h) OVER c >= 26 THEN nullif(stddev_samp(h) OVER c, 0) END), 6) AS signal FROM h WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 51 PRECEDING)""")
+@query("sa_macd_signal", f"""WITH RECURSIVE {PANEL_SQL}, {ema_sql([("f", "open", "(2.0 / 13)"), ("s", "open", "(2.0 / 27)"), ("g", "f - s", "(2.0 / 10)")])}, h AS (SELECT *, f - s - g AS h FROM e),
+h1 AS (SELECT *, CASE WHEN count(h) OVER c >= 26 THEN stddev_samp(h) OVER c END AS sd FROM h WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 51 PRECEDING))
+SELECT instrument, timestamp, round({_SQUASH("h", "sd")}, 6) AS signal FROM h1""")
 def sa_macd_signal(spark, d):
     return rounded(single_asset.macd_signal(_bars(spark, d), price="price"), "signal")
 
 
+BOUNDS = {"long_entry": 0.3, "long_exit": 0.1, "short_entry": -0.3, "short_exit": -0.1}
+
+
 def _positions(spark, d):
-    return single_asset.threshold_positions(single_asset.dual_ma_signal(_bars(spark, d), price="price"), 0.3, 0.1)
+    return single_asset.threshold_positions(single_asset.dual_ma_signal(_bars(spark, d), price="price"), **BOUNDS, short=True)
 
 
 RSI_SQL = f"""{PANEL_SQL}, {ema_sql([("ag", "gain", "(1.0 / 14)"), ("al", "loss", "(1.0 / 14)")], f", CASE WHEN rn > 1 THEN greatest(open - lag(open) {W}, 0) + 0 * (open - lag(open) {W}) END AS gain, CASE WHEN rn > 1 THEN greatest(lag(open) {W} - open, 0) + 0 * (open - lag(open) {W}) END AS loss")},
-rs AS (SELECT e.instrument, e.timestamp, CASE WHEN count(q.open) OVER (PARTITION BY e.instrument ORDER BY e.timestamp) > 14 THEN tanh(-(100 - 100 / (1 + ag / nullif(al, 0)) - 50) / 20) END AS signal FROM e JOIN q USING (instrument, timestamp))"""
-MA_SQL = f"""s0 AS (SELECT instrument, timestamp, rn, CASE WHEN count(open) OVER a >= 10 AND count(open) OVER b >= 30 THEN (avg(open) OVER a - avg(open) OVER b) / nullif(avg(open) OVER b, 0) END AS g FROM q
-  WINDOW a AS (PARTITION BY instrument ORDER BY timestamp ROWS 9 PRECEDING), b AS (PARTITION BY instrument ORDER BY timestamp ROWS 29 PRECEDING)),
-ms AS (SELECT instrument, timestamp, rn, tanh(g / CASE WHEN count(g) OVER c >= 20 THEN nullif(stddev_samp(g) OVER c, 0) END) AS signal FROM s0 WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 19 PRECEDING))"""
-STEP = lambda p: f"CASE WHEN {p} = 0 THEN CASE WHEN v > 0.3 THEN 1.0 WHEN v < -0.3 THEN -1.0 ELSE 0.0 END WHEN {p} > 0 THEN CASE WHEN v < -0.3 THEN -1.0 WHEN v < 0.1 THEN 0.0 ELSE 1.0 END ELSE CASE WHEN v > 0.3 THEN 1.0 WHEN v > -0.1 THEN 0.0 ELSE -1.0 END END"
-POSITION_SQL = f"""{PANEL_SQL}, {MA_SQL}, mv AS (SELECT *, coalesce(signal, 0) AS v FROM ms),
-fsm AS (SELECT instrument, timestamp, rn, signal, {STEP("0")} AS p FROM mv WHERE rn = 1 UNION ALL SELECT mv.instrument, mv.timestamp, mv.rn, mv.signal, {STEP("fsm.p")} AS p FROM fsm JOIN mv ON mv.instrument = fsm.instrument AND mv.rn = fsm.rn + 1),
-tp AS (SELECT instrument, timestamp, signal, coalesce(lag(p) OVER (PARTITION BY instrument ORDER BY timestamp), 0) AS target_position FROM fsm)"""
+st AS (SELECT instrument, timestamp, count(step) {ALL} AS n FROM (SELECT instrument, timestamp, open - lag(open) {W} AS step FROM q)),
+rs AS (SELECT e.instrument, e.timestamp, CASE WHEN n >= 14 THEN tanh(-(100 - 100 / (1 + ag / greatest(al, 1e-10)) - 50) / 20) END AS signal FROM e JOIN st USING (instrument, timestamp))"""
+
+
+def _step(p: str, le: str, lx: str, se: str, sx: str, size: str) -> str:
+    """The position after a bar of signal v, p being the one before it."""
+    flat = f"CASE WHEN v >= {le} THEN {size} WHEN v <= {se} THEN -{size} ELSE 0.0 END"
+    held = f"CASE WHEN v <= {lx} THEN CASE WHEN v <= {se} THEN -{size} ELSE 0.0 END ELSE {size} END"
+    owed = f"CASE WHEN v >= {sx} THEN CASE WHEN v >= {le} THEN {size} ELSE 0.0 END ELSE -{size} END"
+    return f"CASE WHEN v IS NULL THEN {p} WHEN {p} = 0 THEN {flat} WHEN {p} > 0 THEN {held} ELSE {owed} END"
+
+
+def _machine_sql(table: str, *bounds: str) -> str:
+    """CTEs fsm and tp over table (instrument, timestamp, rn, v and what bounds name)."""
+    first, step = _step("0.0", *bounds), _step("fsm.p", *[x if x[-1].isdigit() else f"m.{x}" for x in bounds])
+    return f"""fsm AS (SELECT instrument, timestamp, rn, v, CAST({first} AS DOUBLE) AS p FROM {table} WHERE rn = 1 UNION ALL
+  SELECT m.instrument, m.timestamp, m.rn, m.v, CAST({step.replace("v IS", "m.v IS").replace("WHEN v ", "WHEN m.v ")} AS DOUBLE) FROM fsm JOIN {table} m ON m.instrument = fsm.instrument AND m.rn = fsm.rn + 1),
+tp AS (SELECT instrument, timestamp, rn, coalesce(lag(v) {W}, 0) AS signal, coalesce(lag(p) {W}, 0) AS target_position,
+  CASE WHEN p > 0 AND coalesce(lag(p) {W}, 0) <= 0 THEN 'ENTRY_LONG' WHEN p < 0 AND coalesce(lag(p) {W}, 0) >= 0 THEN 'ENTRY_SHORT' WHEN p = 0 AND lag(p) {W} > 0 THEN 'EXIT_LONG' WHEN p = 0 AND lag(p) {W} < 0 THEN 'EXIT_SHORT' ELSE 'HOLD' END AS action FROM fsm)"""
+
+
+POSITION_SQL = f"{PANEL_SQL}, {MA_SQL}, mv AS (SELECT *, signal AS v FROM ms), {_machine_sql('mv', '0.3', '0.1', '-0.3', '-0.1', '1.0')}"
 
 
 @query("sa_rsi_signal", f"WITH RECURSIVE {RSI_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal FROM rs")
@@ -526,7 +556,7 @@ def sa_rsi_signal(spark, d):
     return rounded(single_asset.rsi_signal(_bars(spark, d), price="price"), "signal")
 
 
-_Z60 = lambda x: f"coalesce(CASE WHEN count({x}) OVER k >= 30 THEN ({x} - avg({x}) OVER k) / nullif(stddev_samp({x}) OVER k, 0) END, 0)"
+_Z60 = lambda x: f"CASE WHEN count({x}) OVER k >= 30 THEN ({x} - avg({x}) OVER k) / greatest(stddev_samp({x}) OVER k, 1e-8) END"
 
 
 @query("sa_factor_signal", f"WITH {BASE_SQL} SELECT instrument, timestamp, round(tanh({_Z60('value')} / 1.5 - {_Z60('trend')} * 0.5 / 1.5), 6) AS signal FROM b0 WINDOW k AS (PARTITION BY instrument ORDER BY timestamp ROWS 59 PRECEDING)")
@@ -534,52 +564,108 @@ def sa_factor_signal(spark, d):
     return rounded(single_asset.factor_signal(bars_with_returns(spark, d), {"value": 1.0, "trend": -0.5}), "signal")
 
 
-@query("sa_combined", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL} SELECT ms.instrument, ms.timestamp, round(coalesce(ms.signal, 0) * 2 / 3.0 + coalesce(rs.signal, 0) / 3.0, 6) AS signal FROM ms JOIN rs USING (instrument, timestamp)")
-def sa_combined(spark, d):
+def _two_signals(spark, d):
     b = _bars(spark, d)
-    return rounded(single_asset.combine_signals({"ma": single_asset.dual_ma_signal(b, price="price"), "rsi": single_asset.rsi_signal(b, price="price")}, {"ma": 2, "rsi": 1}), "signal")
+    return {"ma": single_asset.dual_ma_signal(b, price="price"), "rsi": single_asset.rsi_signal(b, price="price")}
 
 
-@query("sa_threshold_positions", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, target_position FROM tp")
+@query("sa_combined", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL} SELECT ms.instrument, ms.timestamp, round(tanh(coalesce(ms.signal, 0) * 2 / 3.0 + coalesce(rs.signal, 0) / 3.0), 6) AS signal FROM ms JOIN rs USING (instrument, timestamp)")
+def sa_combined(spark, d):
+    return rounded(single_asset.combine_signals(_two_signals(spark, d), {"ma": 2, "rsi": 1}), "signal")
+
+
+_PR = lambda x: f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY instrument ORDER BY {x} NULLS LAST) + (count({x}) OVER (PARTITION BY instrument, {x}) - 1) / 2.0) / count({x}) OVER (PARTITION BY instrument) * 2 - 1 END"
+
+
+@query("sa_rank_average", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL}, b AS (SELECT ms.instrument, ms.timestamp, round(ms.signal, 9) AS m, round(rs.signal, 9) AS x FROM ms JOIN rs USING (instrument, timestamp)) SELECT instrument, timestamp, round(tanh({_PR('m')} * 2 / 3.0 + {_PR('x')} / 3.0), 6) AS signal FROM b")
+def sa_rank_average(spark, d):
+    signals = {n: rounded(s, "signal", digits=9) for n, s in _two_signals(spark, d).items()}
+    return rounded(single_asset.combine_signals(signals, {"ma": 2, "rsi": 1}, "rank_avg"), "signal")
+
+
+@query("sa_threshold_positions", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, target_position, action FROM tp")
 def sa_threshold_positions(spark, d):
     return rounded(_positions(spark, d), "signal")
 
 
-@query("sa_atr_positions")
+ATR_SQL = f"""{PANEL_SQL}, {MA_SQL}, at0 AS (SELECT instrument, timestamp, rn, greatest(high - low, abs(high - lag(close) {W}), abs(low - lag(close) {W})) AS tr, close / nullif(lag(close) {W}, 0) - 1 AS ret FROM q),
+at1 AS (SELECT instrument, timestamp, rn, CASE WHEN count(tr) OVER a >= 14 THEN avg(tr) OVER a END AS atr, CASE WHEN count(ret) OVER b >= 14 THEN stddev_samp(ret) OVER b END AS rv FROM at0
+  WINDOW a AS (PARTITION BY instrument ORDER BY timestamp ROWS 13 PRECEDING), b AS (PARTITION BY instrument ORDER BY timestamp ROWS 27 PRECEDING)),
+at2 AS (SELECT *, CASE WHEN count(atr) OVER c >= 28 THEN quantile_cont(atr, 0.5) OVER c END AS med FROM at1 WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 139 PRECEDING)),
+mv AS (SELECT at2.instrument, at2.timestamp, at2.rn, ms.signal AS v, 0.5 * k AS le, 0.2 * k AS lx, -0.5 * k AS se, -0.2 * k AS sx, CASE WHEN rv IS NULL THEN 0.5 ELSE greatest(least(0.15 / greatest(rv * sqrt(252), 0.01), 1.0), 0.1) END AS size
+  FROM (SELECT *, coalesce(atr / CASE WHEN med IS NOT NULL THEN greatest(med, 1e-10) END, 1.0) AS k FROM at2) at2 JOIN ms USING (instrument, timestamp)),
+{_machine_sql('mv', 'le', 'lx', 'se', 'sx', 'size')}"""
+
+
+@query("sa_atr_positions", f"WITH RECURSIVE {ATR_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, round(target_position, 6) AS target_position, action FROM tp")
 def sa_atr_positions(spark, d):
-    b = _bars(spark, d).withColumn("close", F.col("price"))
-    return single_asset.atr_positions(b, single_asset.dual_ma_signal(b))
+    b = _bars(spark, d)
+    return rounded(single_asset.atr_positions(b, single_asset.dual_ma_signal(b, price="price"), short=True), "signal", "target_position")
 
 
-@query("sa_debounce", f"WITH RECURSIVE {POSITION_SQL}, db AS (SELECT *, lag(target_position) OVER w AS b, row_number() OVER w AS k FROM tp WINDOW w AS (PARTITION BY instrument ORDER BY timestamp)) SELECT instrument, timestamp, round(signal, 6) AS signal, target_position FROM db WHERE k = 1 OR b <> target_position")
+@query("sa_debounce", f"WITH RECURSIVE {POSITION_SQL}, db AS (SELECT *, lag(target_position) {W} AS b, row_number() {W} AS k FROM tp) SELECT instrument, timestamp, round(signal, 6) AS signal, target_position, action FROM db WHERE k = 1 OR b <> target_position")
 def sa_debounce(spark, d):
     return rounded(single_asset.debounce(_positions(spark, d)), "signal")
 
 
-@query("sa_check_positions", "SELECT CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS repeated")
+@query("sa_check_positions", """WITH f AS (SELECT factor_id, asset, datetime, value FROM factor_lake)
+SELECT (SELECT count(*) FROM f WHERE value IS NULL OR isnan(value)) AS missing, (SELECT count(*) FROM f WHERE abs(value) > 1) AS out_of_range,
+  (SELECT count(*) FROM (SELECT 1 FROM f GROUP BY asset, datetime HAVING count(*) > 1)) AS repeated""")
 def sa_check_positions(spark, d):
-    return single_asset.check_positions(_positions(spark, d))
+    """Factor values taken for positions: missing ones, those beyond 1, and repeated keys."""
+    lake = read_table(spark, d, "factor_lake").select(F.col("datetime").alias("timestamp"), F.col("asset").alias("instrument"), F.col("value").alias("target_position"))
+    return single_asset.check_positions(lake)
+
 
+ACCOUNT_SQL = f"""{POSITION_SQL}, ai AS (SELECT tp.instrument, tp.timestamp, tp.rn, tp.target_position AS z, q.open AS o, q.open AS c FROM tp JOIN q USING (instrument, timestamp)),
+ac AS (SELECT instrument, timestamp, rn, 1e5::DOUBLE AS cash, 0.0::DOUBLE AS shares, CASE WHEN abs(z) > 1e-9 THEN z::DOUBLE END AS pending, CASE WHEN abs(z) > 1e-9 THEN z::DOUBLE ELSE 0.0 END AS asked, CASE WHEN c IS NOT NULL THEN 1e5::DOUBLE END AS equity FROM ai WHERE rn = 1 UNION ALL
+  SELECT instrument, timestamp, rn, cash, shares, CASE WHEN abs(z - asked) > 1e-9 THEN z ELSE pending END, CASE WHEN abs(z - asked) > 1e-9 THEN z ELSE asked END, cash + shares * c FROM (
+    SELECT instrument, timestamp, rn, z, c, asked, CASE WHEN go THEN NULL ELSE pending END AS pending, want AS shares,
+      cash - CASE WHEN go THEN (want - shares) * o * (1 + sign(want - shares) * 0.0002) + abs((want - shares) * o * (1 + sign(want - shares) * 0.0002)) * 0.0005 ELSE 0 END AS cash FROM (
+      SELECT ai.*, ac.cash, ac.shares, ac.pending, ac.asked, ac.pending IS NOT NULL AND ai.o > 0 AS go, CASE WHEN ac.pending IS NOT NULL AND ai.o > 0 THEN ac.pending * (ac.cash + ac.shares * ai.o) / ai.o ELSE ac.shares END AS want
+      FROM ac JOIN ai ON ai.instrument = ac.instrument AND ai.rn = ac.rn + 1)))"""
 
-@query("sa_backtest")
+
+@query("sa_backtest", f"WITH RECURSIVE {ACCOUNT_SQL} SELECT instrument, timestamp, round(equity, 4) AS equity, round(equity / nullif(lag(equity) {W}, 0) - 1, 6) AS period_return FROM ac")
 def sa_backtest(spark, d):
     df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "open", F.col("price").alias("close")), ["timestamp", "instrument"])
-    return single_asset.single_asset_backtest(df)
+    return rounded(rounded(single_asset.single_asset_backtest(df), "period_return"), "equity", digits=4)
+
+
+LEDGER_SQL = f"""{POSITION_SQL}, lg0 AS (SELECT tp.instrument, tp.timestamp, sign(target_position) AS s, q.open AS price, q.high, q.low FROM tp JOIN q USING (instrument, timestamp)),
+lg1 AS (SELECT *, CASE WHEN s <> coalesce(lag(s) {W}, 0) THEN 1 ELSE 0 END AS new FROM lg0), lg2 AS (SELECT *, sum(new) {ALL} AS trade FROM lg1),
+lg3 AS (SELECT instrument, trade, min(timestamp) AS entry, max(timestamp) AS exit, CAST(max(s) AS DOUBLE) AS side, count(*) AS bars, first(price ORDER BY timestamp) AS entry_price, last(price ORDER BY timestamp) AS exit_price, max(high) AS hi, min(low) AS lo FROM lg2 WHERE s <> 0 GROUP BY 1, 2),
+lg4 AS (SELECT *, CASE WHEN entry_price > 0 THEN entry_price END AS e FROM lg3)"""
 
 
-@query("sa_trade_ledger")
+@query("sa_trade_ledger", f"""WITH RECURSIVE {LEDGER_SQL} SELECT instrument, entry, exit, side, bars, entry_price, exit_price, round((exit_price / nullif(entry_price, 0) - 1) * side, 6) AS trade_return,
+  round(greatest(CASE WHEN side > 0 THEN hi / e - 1 ELSE e / greatest(lo, 1e-12) - 1 END, 0), 6) AS mfe, round(least(CASE WHEN side > 0 THEN lo / e - 1 ELSE e / greatest(hi, 1e-12) - 1 END, 0), 6) AS mae FROM lg4""")
 def sa_trade_ledger(spark, d):
-    df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "price"), ["timestamp", "instrument"])
-    return single_asset.trade_ledger(df, price="price")
+    df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "price", "high", "low"), ["timestamp", "instrument"])
+    return rounded(single_asset.trade_ledger(df, price="price"), "trade_return", "mfe", "mae")
 
 
-@query("sa_multi_asset_weights")
-def sa_multi_asset_weights(spark, d):
+EXEC_SQL = f"""{HOLD_SQL}, ex0 AS (SELECT q.instrument, q.timestamp, q.rn, q.open AS close, coalesce(last_value(hold.weight IGNORE NULLS) OVER (PARTITION BY q.instrument ORDER BY q.timestamp), 0) AS t,
+  coalesce(greatest(q.open * q.volume, 0), 0) * 0.3 / 1e6 AS cap FROM q LEFT JOIN hold ON hold.instrument = q.instrument AND hold.timestamp = q.timestamp),
+exw AS (SELECT instrument, timestamp, rn, CAST(greatest(least(t, cap), -cap) AS DOUBLE) AS weight FROM ex0 WHERE rn = 1 UNION ALL
+  SELECT x.instrument, x.timestamp, x.rn, exw.weight + greatest(least(x.t - exw.weight, x.cap), -x.cap) FROM exw JOIN ex0 x ON x.instrument = exw.instrument AND x.rn = exw.rn + 1),
+ex1 AS (SELECT exw.instrument, exw.timestamp, weight, cap, abs(weight - coalesce(lag(weight) OVER w, 0)) AS trade, close / nullif(lag(close) OVER w, 0) - 1 AS ret, lag(weight) OVER w AS held
+  FROM exw JOIN ex0 ON ex0.instrument = exw.instrument AND ex0.timestamp = exw.timestamp WINDOW w AS (PARTITION BY exw.instrument ORDER BY exw.timestamp)),
+exd AS (SELECT timestamp, sum(coalesce(held * ret, 0)) AS gross_return, sum(trade) AS turnover, sum(CASE WHEN cap > 0 THEN trade * (trade / cap) * (trade / cap) ELSE 0 END) * 0.1 AS impact_cost, max(CASE WHEN cap > 0 THEN trade / cap ELSE 0 END) AS participation, sum(abs(weight)) AS gross_leverage FROM ex1 GROUP BY 1)"""
+
+
+def _execution(spark, d):
     bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
-    return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, adv_share=0.3, impact="square")[0]
+    return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, adv_share=0.3, impact="square")
+
 
+@query("sa_multi_asset_weights", f"WITH RECURSIVE {EXEC_SQL} SELECT instrument, timestamp, round(weight, 6) AS weight FROM exw")
+def sa_multi_asset_weights(spark, d):
+    return rounded(_execution(spark, d)[0], "weight")
 
-@query("sa_multi_asset_returns")
+
+@query("sa_multi_asset_returns", f"""WITH RECURSIVE {EXEC_SQL} SELECT timestamp, round(gross_return, 6) AS gross_return, round(turnover, 6) AS turnover, round(impact_cost, 6) AS impact_cost, round(participation, 6) AS participation, round(gross_leverage, 6) AS gross_leverage,
+  round(turnover * 0.0005 + impact_cost, 6) AS cost, round(gross_return - turnover * 0.0005 - impact_cost, 6) AS net_return FROM exd""")
 def sa_multi_asset_returns(spark, d):
-    bars = _bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
-    return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, impact="linear")[1]
+    out = _execution(spark, d)[1].drop("nav")
+    return rounded(out, *[c for c in out.columns if c != "timestamp"])

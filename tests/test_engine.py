@@ -212,15 +212,19 @@ def test_rolling_rank_and_capped_positions(spark):
 
 
 def test_threshold_machine_and_equity(spark):
-    s = [0.0, 0.6, 0.3, 0.1, -0.7, 0.8, 0.0, 0.0]
+    s = [0.0, 0.6, 0.3, 0.1, -0.7, 0.8, 0.0, None]
+    how = {"long_entry": 0.5, "long_exit": 0.2, "short_entry": -0.5, "short_exit": -0.2, "short": True}
     p = tiny(spark, [(D[i], "A", v) for i, v in enumerate(s)], "signal double")
-    assert values(single_asset.threshold_positions(p, shift=0), "target_position") == [0, 1, 1, 0, -1, 1, 0, 0]
-    assert values(single_asset.threshold_positions(p), "target_position") == [0, 0, 1, 1, 0, -1, 1, 0]
+    assert values(single_asset.threshold_positions(p, **how, shift=0), "target_position") == [0, 1, 1, 0, -1, 1, 0, 0]
+    assert values(single_asset.threshold_positions(p, **how), "target_position") == [0, 0, 1, 1, 0, -1, 1, 0]
+    at_bounds = tiny(spark, [(D[i], "A", v) for i, v in enumerate([0.5, None, 0.2, -0.5])], "signal double")
+    assert values(single_asset.threshold_positions(at_bounds, **how, shift=0), "target_position") == [1, 1, 0, -1]
+    assert values(single_asset.threshold_positions(at_bounds, shift=0), "target_position") == [1, 1, 1, 0]  # no shorts, and out at 0
     bars = tiny(spark, [(D[i], "A", t, o, c) for i, (t, o, c) in enumerate([(1.0, 10.0, 10.0), (1.0, 10.0, 12.0), (0.0, 12.0, 12.0), (0.0, 15.0, 15.0)])], "target_position double, open double, close double")
     out = single_asset.single_asset_backtest(bars, start=100, commission=0, slippage=0)
     assert values(out, "equity") == [100.0, 120.0, 120.0, 150.0]
-    ledger = single_asset.trade_ledger(bars.withColumn("price", F.col("close"))).collect()
-    assert len(ledger) == 1 and ledger[0].bars == 2 and ledger[0].mfe == pytest.approx(0.2)
+    ledger = single_asset.trade_ledger(bars.withColumns({"price": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") - 1}), price="price").collect()
+    assert len(ledger) == 1 and ledger[0].bars == 2 and ledger[0].mfe == pytest.approx(0.3) and ledger[0].mae == pytest.approx(-0.1)
 
 
 def test_metrics_of_every_net_return(spark):
@@ -229,7 +233,7 @@ def test_metrics_of_every_net_return(spark):
     table = table[np.isfinite(table.net_return)].drop_duplicates(["strategy_id", "trade_date", "net_return"])
     assert (table.net_return.abs() >= 1).any()
     got = catalog.QUERIES["pf_metrics_net"](spark, d).toPandas().set_index("strategy_id")
-    bench = catalog.QUERIES["pf_benchmark_net"](spark, d).toPandas().set_index("strategy_id")
+    bench = catalog.QUERIES["pf_benchmark"](spark, d).toPandas().set_index("strategy_id")
     assert set(got.index) == set(bench.index) == set(table.strategy_id)
     for key, own in table.groupby("strategy_id").net_return:
         assert got.trade_days[key] == len(own)
@@ -252,22 +256,3 @@ def test_queries_meet_the_columns_as_they_are(spark):
             if not lost:  # from there on the means stay
                 fast, slow = (total if x != x else x + 2 / (n + 1) * (total - x) for x, n in ((fast, 3), (slow, 10)))
             assert got[key, t] == pytest.approx(fast - slow, rel=1e-9, abs=1e-9 * seen + 1e-6, nan_ok=True)
-
-
-def test_portfolio_queries_see_large_volumes(spark):
-    d = "/root/testdata/sf0.01"
-    bars = research_queries._bars(spark, d).select("timestamp", "instrument", F.col("price").alias("close"), "volume")
-    assert bars.filter("volume > 1e7").count()
-    targets = research_queries._holdings(spark, d).withColumnRenamed("weight", "target_weight")
-    want = single_asset.multi_asset_backtest(targets, bars, adv_share=0.3, impact="square")[0].toPandas()
-    costs = single_asset.multi_asset_backtest(targets, bars, impact="linear")[1].toPandas()
-    same = lambda a, b, keys: np.testing.assert_allclose(*(x.sort_values(keys).select_dtypes("number").to_numpy(float) for x in (a, b)), rtol=1e-9)
-    same(catalog.QUERIES["sa_multi_asset_weights"](spark, d).toPandas(), want, ["instrument", "timestamp"])
-    same(catalog.QUERIES["sa_multi_asset_returns"](spark, d).toPandas(), costs, ["timestamp"])
-
-
-def test_volatility_regime_of_values_as_they_are(spark):
-    d = "/root/testdata/sf0.01"
-    want = minute.volatility_regime(research_queries._ticks(spark, d), "close", 20, 200).select("instrument", "timestamp", "regime")
-    got = catalog.QUERIES["in_volatility_regime"](spark, d)
-    assert want.filter("regime is not null").count() and not want.exceptAll(got).count()
