@@ -93,3 +93,22 @@ def one_panel(factors: dict[str, DataFrame], how: str = "outer", timestamp: str
     if how == "inner":
         wide = wide.filter(F.col("_n") == len(factors))
     return wide.drop("_n")
+
+
+def one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """The join of two tables that have each key once; a repeated key on either side is a ValueError."""
+    keys = list(keys)
+    for name, df in (("left", left), ("right", right)):
+        twice = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"the {name} side has {twice[0]['count']} rows of {[twice[0][k] for k in keys]}")
+    return left.join(right, keys, how)
+
+
+def on_common_dates(*panels: DataFrame, timestamp: str = "timestamp") -> list[DataFrame]:
+    """The panels on the timestamps that all of them have."""
+    days = None
+    for i, df in enumerate(panels):
+        own = df.select(timestamp).dropna().distinct()
+        days = own if days is None else days.join(own, timestamp, "left_semi")
+    return [df.join(days, timestamp, "left_semi") for df in panels]

@@ -122,3 +122,9 @@ def return_summary(df: DataFrame, column: str, keys: Sequence[str] = (), order:
         *keys, (F.col("last") - 1).alias("total_return"), (F.pow("last", per_year / F.col("n")) - 1).alias("ann_return"), (F.col("sd") * per_year**0.5).alias("ann_vol"),
         F.try_divide(F.col("m") * per_year**0.5, nonzero(F.col("sd"))).alias("sharpe"), "max_drawdown",
     )
+
+
+def below_thresholds(summary: DataFrame, least: dict[str, float], keys: Sequence[str]) -> DataFrame:
+    """keys, passed, and failures: the measures of a summary row that are missing or under their least value."""
+    failed = F.array_compact(F.array(*[F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(f"{c} missing")).when(F.col(c) < v, F.lit(f"{c} below {v}")) for c, v in least.items()]))
+    return summary.select(*keys, (F.size(failed) == 0).alias("passed"), F.array_join(failed, "; ").alias("failures"))

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorloom.functions.common import cut_lineage, finite, key_upper, read_table, trimmed
-from factorloom.operators import asof, cleaning, composite, evaluation, minute, portfolio, risk, single_asset
+from factorloom.operators import account_figures, asof, cleaning, composite, evaluation, minute, portfolio, risk, single_asset
 from factorloom.plans.compiler import compute, panel
 from factorloom.plans.factor_queries import ALL, CS, PANEL_SQL, W, daily_panel, ema_sql, prank
 from factorloom.sources.lake import merge_new
-from factorloom.sources.panels import composite_panel
+from factorloom.sources.panels import build_source, composite_panel, table_report
 
 HORIZON, N = 2, 5
 REVERSAL = '-(col("open") / ts_delay(col("open"), 5) - 1)'
@@ -167,21 +167,58 @@ def src_one_panel(spark, d):
     return asof.one_panel({"open": bars, "volume": _agg_panel(spark, d).withColumnRenamed("volume", "value")})
 
 
-@query("src_clean_explode", f"SELECT source, upper(regexp_replace(c, '^\\s+|\\s+$', '', 'g')) AS time_columns, timezone FROM (SELECT source, unnest(time_columns) AS c, timezone FROM source_config)")
+@query("src_clean_explode", f"""SELECT source, time_columns, timezone, sha256(source || chr(31) || time_columns) AS row_key FROM (SELECT source, upper(regexp_replace(c, '^\\s+|\\s+$', '', 'g')) AS time_columns, timezone FROM (SELECT source, unnest(time_columns) AS c, timezone FROM source_config))""")
 def src_clean_explode(spark, d):
     out = cleaning.clean_table(read_table(spark, d, "source_config"), key=["source", "time_columns"], lists=["time_columns"], tickers=["time_columns"])
-    return out.select("source", "time_columns", "timezone")
+    return out.select("source", "time_columns", "timezone", "row_key")
 
 
 _ASSET = "upper(regexp_replace(ticker, '^\\s+|\\s+$', '', 'g'))"
+SPAN = ("2023-01-01", "2024-06-30")
 
 
-@query("lake_upsert", f"""SELECT {_ASSET} AS asset, window_start, volume FROM (SELECT *, row_number() OVER (PARTITION BY {_ASSET}, window_start
-  ORDER BY ingested_at DESC NULLS LAST, volume DESC NULLS LAST) AS k FROM day_aggs) WHERE k = 1""")
+@query("src_parquet", f"""SELECT instrument, timestamp, open, volume FROM (SELECT regexp_replace(ticker, '^\\s+|\\s+$', '', 'g') AS instrument, CAST(CAST(make_timestamp(window_start // 1000) AS DATE) AS TIMESTAMP) AS timestamp, CASE WHEN isfinite(open) THEN open END AS open, CASE WHEN isfinite(volume) THEN volume END AS volume,
+  row_number() OVER (PARTITION BY regexp_replace(ticker, '^\\s+|\\s+$', '', 'g'), CAST(make_timestamp(window_start // 1000) AS DATE) ORDER BY ingested_at DESC NULLS LAST, open DESC NULLS LAST, volume DESC NULLS LAST) AS k FROM day_aggs WHERE ticker IS NOT NULL AND window_start <> 0
+  AND CAST(make_timestamp(window_start // 1000) AS DATE) BETWEEN DATE '{SPAN[0]}' AND DATE '{SPAN[1]}') WHERE k = 1 AND instrument <> ''""")
+def src_parquet(spark, d):
+    """Daily bars of a year and a half, the bounds reaching the scan in nanoseconds."""
+    spec = {"type": "parquet_kline", "path": f"{d}/day_aggs.parquet", "fields": {"open": "open", "volume": "volume"}, "start": SPAN[0], "end": SPAN[1], "last_by": "ingested_at"}
+    return build_source(spark, spec).select("instrument", "timestamp", "open", "volume")
+
+
+@query("src_validate", """SELECT count(*) AS rows, CAST(sum((ticker IS NULL)::INT + (window_start IS NULL)::INT + coalesce(isnan(open), true)::INT + coalesce(isnan(high), true)::INT + coalesce(isnan(low), true)::INT + coalesce(isnan(close), true)::INT + coalesce(isnan(volume), true)::INT
+  + coalesce(isnan(transactions), true)::INT + (ingested_at IS NULL)::INT) AS BIGINT) AS nulls, count(*) FILTER (WHERE volume < 0) AS negatives, CAST(0 AS BIGINT) AS problems FROM day_aggs""")
+def src_validate(spark, d):
+    report = table_report(spark, f"{d}/day_aggs.parquet", not_negative=["volume"])
+    return report.agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.sum("negatives").alias("negatives"), F.count("problem").alias("problems"))
+
+
+@query("src_one_to_one", f"WITH {PANEL_SQL}, {_AGG_DAYS} SELECT p.instrument, p.timestamp, p.open, ad.agg_volume AS volume FROM p JOIN ad ON p.instrument = ad.instrument AND p.timestamp = ad.timestamp")
+def src_one_to_one(spark, d):
+    bars, aggs = asof.on_common_dates(daily_panel(spark, d).select("timestamp", "instrument", "open"), _agg_panel(spark, d))
+    return asof.one_to_one(bars, aggs, ["timestamp", "instrument"]).select("instrument", "timestamp", "open", "volume")
+
+
+LEAST = {"ic_mean": 0.0, "ic_win_rate": 0.5, "long_short_sharpe": 0.5, "long_short_max_drawdown": -0.3}
+_FAILED = "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '{c} missing' WHEN {c} < {v} THEN '{c} below {v}' END" for c, v in LEAST.items()) + "], lambda x: x IS NOT NULL), '; ')"
+
+
+@query("ev_thresholds", f"SELECT run_id, horizon, written_at, failures = '' AS passed, failures FROM (SELECT run_id, horizon, written_at, {_FAILED} AS failures FROM factor_evaluation_summary)")
+def ev_thresholds(spark, d):
+    return evaluation.below_thresholds(read_table(spark, d, "factor_evaluation_summary"), LEAST, ["run_id", "horizon", "written_at"])
+
+
+_BAR_DAYS = f"SELECT {_ASSET} AS asset, CAST(trade_date AS DATE) AS day, max(CASE WHEN isfinite(v) THEN v END) AS volume FROM daily_market_summary GROUP BY 1, 2"
+
+
+@query("lake_upsert", f"""WITH old AS ({_BAR_DAYS}), {_AGG_DAYS} SELECT coalesce(ad.instrument, old.asset) AS asset, coalesce(ad.timestamp, old.day) AS day, CASE WHEN ad.instrument IS NOT NULL THEN agg_volume ELSE volume END AS volume
+  FROM (SELECT * FROM old WHERE asset <> '') old FULL JOIN (SELECT * FROM ad WHERE instrument <> '') ad ON ad.instrument = old.asset AND ad.timestamp = old.day""")
 def lake_upsert(spark, d):
-    """Corrected bars over the first deliveries: of each key the newest row."""
-    rows = read_table(spark, d, "day_aggs").select(key_upper("ticker").alias("asset"), "window_start", "ingested_at", "volume")
-    return merge_new(rows, rows, ["asset", "window_start"]).select("asset", "window_start", "volume")
+    """The bars' volumes with those of the daily aggregates over them, which win where both have a key."""
+    bars = read_table(spark, d, "daily_market_summary").select(key_upper("ticker").alias("asset"), F.to_date("trade_date").alias("day"), finite("v").alias("volume"))
+    old = bars.dropna(subset=["asset"]).groupBy("asset", "day").agg(F.max("volume").alias("volume"))
+    new = _agg_panel(spark, d).select(F.col("instrument").alias("asset"), F.col("timestamp").alias("day"), "volume")
+    return merge_new(old, new, ["asset", "day"]).select("asset", "day", "volume")
 
 
 # composite
@@ -669,3 +706,35 @@ def sa_multi_asset_weights(spark, d):
 def sa_multi_asset_returns(spark, d):
     out = _execution(spark, d)[1].drop("nav")
     return rounded(out, *[c for c in out.columns if c != "timestamp"])
+
+
+FIGURES_SQL = f"""{ACCOUNT_SQL}, fgr AS (SELECT instrument, timestamp, equity, equity / nullif(lag(equity) {W}, 0) - 1 AS r FROM ac),
+fg0 AS (SELECT ac.instrument, ac.timestamp, equity, r, z AS pos, coalesce(z, 0) - coalesce(lag(z) OVER w, 0) AS step, max(equity) OVER w AS peak, date_diff('day', lag(ac.timestamp) OVER w, ac.timestamp) AS gap
+  FROM fgr ac JOIN ai USING (instrument, timestamp) WHERE equity IS NOT NULL WINDOW w AS (PARTITION BY ac.instrument ORDER BY ac.timestamp)),
+fg1 AS (SELECT instrument, count(*) AS bars, last(equity ORDER BY timestamp) / first(equity ORDER BY timestamp) - 1 AS total, greatest(1, 252.0 / median(gap)) AS y, stddev_pop(r) AS sd, min(equity / peak - 1) AS dd, sum(abs(step)) AS turnover,
+  stddev_pop(r) FILTER (WHERE r < 0) AS down, avg((r > 0)::INT) FILTER (WHERE r IS NOT NULL) AS hits, quantile_cont(r, 0.05) AS low, quantile_cont(r, 0.95) AS high, avg((abs(pos) > 1e-12)::INT) AS inside, avg(abs(pos)) AS exposure,
+  sqrt(avg((equity / peak - 1) * (equity / peak - 1)) FILTER (WHERE equity < peak)) AS ulcer, avg(equity / peak - 1) FILTER (WHERE equity < peak) AS mean_dd, sum(r) FILTER (WHERE r > 0) AS up, -sum(r) FILTER (WHERE r < 0) AS lost FROM fg0 GROUP BY 1),
+fg2 AS (SELECT *, pow(1 + total, coalesce(y, 252) / bars) - 1 AS annual, coalesce(y, 252) AS yy FROM fg1)"""
+_PER = lambda a, b: f"CASE WHEN abs({b}) > 1e-12 THEN {a} / {b} ELSE 0 END"
+
+
+@query("sa_figures", f"""WITH RECURSIVE {FIGURES_SQL} SELECT instrument, bars, round(total, 6) AS total_return, round(annual, 6) AS annual_return, round(coalesce(sd * sqrt(yy), 0), 6) AS volatility, round({_PER("annual", "coalesce(sd * sqrt(yy), 0)")}, 5) AS sharpe, round(dd, 6) AS max_drawdown, round(turnover, 6) AS turnover,
+  round(coalesce(down * sqrt(yy), 0), 6) AS downside_volatility, round({_PER("annual", "dd")} * -1 + 0.0, 5) AS calmar, round(coalesce(hits, 0), 6) AS hit_rate_bar, round(coalesce(low, 0), 6) AS var_95, round({_PER("coalesce(high, 0)", "abs(coalesce(low, 0))")}, 5) AS tail_ratio, round(coalesce(inside, 0), 6) AS time_in_market,
+  round(coalesce(exposure, 0), 6) AS exposure, round(coalesce(ulcer, 0), 6) AS ulcer_index, round(coalesce(mean_dd, 0), 6) AS avg_drawdown, round({_PER("coalesce(up, 0)", "coalesce(lost, 0)")}, 5) AS omega_ratio, round(turnover / bars * yy, 5) AS turnover_annualized FROM fg2""")
+def sa_figures(spark, d):
+    df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "open", F.col("price").alias("close")), ["timestamp", "instrument"])
+    account = single_asset.single_asset_backtest(df).join(df.select("timestamp", "instrument", F.col("target_position").alias("position")), ["timestamp", "instrument"])
+    out = account_figures.account_figures(account, profile="industrial")
+    five = ["sharpe", "calmar", "tail_ratio", "omega_ratio", "turnover_annualized"]
+    six = ["total_return", "annual_return", "volatility", "max_drawdown", "turnover", "downside_volatility", "hit_rate_bar", "var_95", "time_in_market", "exposure", "ulcer_index", "avg_drawdown"]
+    return rounded(rounded(out.select("instrument", "bars", *six, *five), *six), *five, digits=5)
+
+
+@query("sa_trade_figures", f"""WITH RECURSIVE {LEDGER_SQL}, tg0 AS (SELECT instrument, entry, bars, coalesce((exit_price / nullif(entry_price, 0) - 1) * side, 0) AS x, row_number() OVER (PARTITION BY instrument ORDER BY entry) AS i FROM lg4),
+tg1 AS (SELECT *, i - coalesce(max(CASE WHEN x >= 0 THEN i END) OVER (PARTITION BY instrument ORDER BY i), 0) AS run FROM tg0)
+SELECT instrument, count(*) AS trades, round(avg((x > 0)::INT), 6) AS win_rate_trade, max(run) AS max_consecutive_losses, round(avg(bars), 6) AS avg_holding_period_bars, round(avg((x > 0)::INT) * coalesce(avg(x) FILTER (WHERE x > 0), 0) + (1 - avg((x > 0)::INT)) * coalesce(avg(x) FILTER (WHERE x < 0), 0), 6) AS expectancy,
+  round({_PER("coalesce(sum(x) FILTER (WHERE x > 0), 0)", "coalesce(sum(x) FILTER (WHERE x < 0), 0)")} * -1 + 0.0, 6) AS profit_factor FROM tg1 GROUP BY 1""")
+def sa_trade_figures(spark, d):
+    df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "price", "high", "low"), ["timestamp", "instrument"])
+    out = account_figures.trade_figures(single_asset.trade_ledger(df, price="price"))
+    return rounded(out.select("instrument", "trades", "win_rate_trade", "max_consecutive_losses", "avg_holding_period_bars", "profit_factor", "expectancy"), "win_rate_trade", "avg_holding_period_bars", "profit_factor", "expectancy")

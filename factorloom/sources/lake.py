@@ -19,6 +19,9 @@ SCHEMA = "datetime timestamp, asset string, value float"
 CATALOG = "ast_hash string, expression string, start_date string, end_date string, row_count long, last_updated timestamp"
 
 
+FILE_ROWS = 20_000_000  # rows of one file of the lake, some 200 MB
+
+
 class HashMismatch(ValueError):
     """A factor id that stands for another expression already."""
 
@@ -96,7 +99,8 @@ class Lake:
                 old = self.spark.read.schema(f"{SCHEMA}, year int").parquet(path).filter(F.col("year").isin(years)).drop("year")
             merged = cut_lineage(merge_new(old, new, ["datetime", "asset"]))  # before the old files go
             out = merged.withColumn("year", F.year("datetime"))
-            out = out.repartition("year").sortWithinPartitions("asset", "datetime")
+            files = max(1, -(-merged.count() // FILE_ROWS))  # a large year is several tasks and files
+            out = out.repartition(len(years) * files, "year", F.pmod(F.xxhash64("asset"), F.lit(files))).sortWithinPartitions("asset", "datetime")
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
         whole = self.read(factor_id).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"), F.count("*").alias("n")).first()
         day = lambda t: str(t)[:10] if t else None

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from factorloom.operators import asof, composite, minute, portfolio, risk, single_asset
+from factorloom.operators import account_figures, asof, composite, minute, portfolio, risk, single_asset
 from factorloom.operators.cleaning import clean_table
 from factorloom.plans import catalog, factor_queries, research_queries, stubs
 from factorloom.plans.compiler import SIGNATURES, Plan, compile_text, compute, panel
@@ -256,3 +256,29 @@ def test_queries_meet_the_columns_as_they_are(spark):
             if not lost:  # from there on the means stay
                 fast, slow = (total if x != x else x + 2 / (n + 1) * (total - x) for x, n in ((fast, 3), (slow, 10)))
             assert got[key, t] == pytest.approx(fast - slow, rel=1e-9, abs=1e-9 * seen + 1e-6, nan_ok=True)
+
+
+def test_account_figures_by_hand():
+    at = np.arange(6) * 86_400_000_000_000
+    equity = np.array([100.0, 110.0, 99.0, 99.0, 121.0, 60.5])
+    ret = np.r_[np.nan, np.diff(equity) / equity[:-1]]
+    got = account_figures.figures(at, equity, ret, np.array([0.0, 1.0, 1.0, 0.0, -1.0, np.nan]), np.array([np.nan, 0.1, -0.1, 0.0, 0.2, -0.2]), np.full(6, 1000.0), 0.0)
+    assert got["total_return"] == pytest.approx(-0.395) and got["max_drawdown"] == pytest.approx(-0.5) and got["max_drawdown_duration_bars"] == 2
+    assert got["turnover"] == 1 + 1 + 1 + 1 and got["time_in_market"] == 0.5 and got["exposure"] == 0.5
+    assert got["sterling_ratio"] == pytest.approx(got["annual_return"] / 0.3) and got["burke_ratio"] == pytest.approx(got["annual_return"] / 0.26**0.5)
+    assert got["up_market_capture"] == pytest.approx((1.1 * 121 / 99 - 1) / (1.1 * 1.2 - 1)) and got["down_market_capture"] == pytest.approx((0.9 * 0.5 - 1) / (0.9 * 0.8 - 1))
+    assert got["capacity_estimate"] == pytest.approx(1000 * 0.02 * 252 / (4 / 6 * 252)) and got["hurst_exponent"] == 0  # too few bars
+    x = np.random.default_rng(1).normal(0, 0.01, 400)
+    import pandas as pd
+
+    skew, kurt = account_figures._moments(x)
+    assert skew == pytest.approx(pd.Series(x).skew()) and kurt == pytest.approx(pd.Series(x).kurt())
+    walk = np.cumsum(np.random.default_rng(2).normal(0, 0.01, 50_000))
+    assert abs(account_figures._hurst(walk) - 1) < 0.05 and set(account_figures.PROFILES["standard"]) < set(got)
+
+
+def test_account_figures_of_odd_tables(spark):
+    df = spark.createDataFrame([(D[0], "A", 100.0, None, 1.0), (D[1], "A", None, 0.1, 1.0), (D[2], None, 5.0, 0.1, 1.0), (D[0], "B", 0.0, None, None)], "timestamp date, instrument string, equity double, period_return double, position double")
+    got = {r.instrument: r for r in account_figures.account_figures(df, profile="standard").collect()}
+    assert got["A"].bars == 1 and got["A"].total_return == 0 and got["B"].total_return == 0
+    assert account_figures.account_figures(df.limit(0)).count() == 0

@@ -1,4 +1,4 @@
-"""Recursive operators against plain Python loops over one instrument."""
+"""Recursive operators: bars worked out by hand, properties, and plain means."""
 
 import math
 from datetime import date, timedelta
@@ -35,77 +35,52 @@ def same(got, want):
             assert a == pytest.approx(b, rel=1e-9, abs=1e-9)
 
 
-def true_range(h, l, c):
-    return [h[0] - l[0]] + [max(h[i] - l[i], abs(h[i] - c[i - 1]), abs(l[i] - c[i - 1])) for i in range(1, len(c))]
-
-
-def smooth(x, d):
-    out = [None] * len(x)
-    if len(x) >= d:
-        out[d - 1] = sum(x[:d]) / d
-        for i in range(d, len(x)):
-            out[i] = (out[i - 1] * (d - 1) + x[i]) / d
-    return out
-
-
-def dmi(h, l, c, d):
-    up = [0.0] + [h[i] - h[i - 1] for i in range(1, len(c))]
-    dn = [0.0] + [l[i - 1] - l[i] for i in range(1, len(c))]
-    p = smooth([u if u > w and u > 0 else 0.0 for u, w in zip(up, dn)], d)
-    m = smooth([w if w > u and w > 0 else 0.0 for u, w in zip(up, dn)], d)
-    t = smooth(true_range(h, l, c), d)
-    pdi = [None if a is None else 100 * a / b for a, b in zip(p, t)]
-    mdi = [None if a is None else 100 * a / b for a, b in zip(m, t)]
-    dx = [None if a is None else 100 * abs(a - b) / (a + b) for a, b in zip(pdi, mdi)]
-    adx = [None] * len(c)
-    s = 2 * d - 2
-    adx[s] = sum(dx[d - 1 : s + 1]) / d
-    for i in range(s + 1, len(c)):
-        adx[i] = (adx[i - 1] * (d - 1) + dx[i]) / d
-    return pdi, mdi, dx, adx
-
-
-def test_directional_movement(spark):
-    rows = bars()
-    h, l, c = ([r[k] for r in rows] for k in (2, 3, 4))
-    pdi, mdi, dx, adx = dmi(h, l, c, 7)
-    hlc = 'col("high"), col("low"), col("close")'
-    same(run(spark, rows, f"ts_adx({hlc}, 7)"), adx)
-    same(run(spark, rows, f"ts_adx({hlc}, 7, line='plus_di')"), pdi)
-    same(run(spark, rows, f"ts_adx({hlc}, 7, line='minus_di')"), mdi)
-    same(run(spark, rows, f"ts_dx({hlc}, 7)"), dx)
-    same(run(spark, rows, f"ts_adxr({hlc}, 7)"), [None if i < 7 or adx[i - 7] is None else (adx[i] + adx[i - 7]) / 2 for i in range(len(c))])
-
-
-def test_keltner(spark):
-    rows = bars()
-    h, l, c = ([r[k] for r in rows] for k in (2, 3, 4))
-    tp = [(a + b + e) / 3 for a, b, e in zip(h, l, c)]
-    mid = [tp[0]]
-    for x in tp[1:]:
-        mid.append(mid[-1] * (1 - 2 / 8) + x * 2 / 8)
-    atr = smooth(true_range(h, l, c), 5)
-    want = [None if a is None else m + 1.5 * a for m, a in zip(mid, atr)]
-    same(run(spark, rows, 'ts_keltner(col("high"), col("low"), col("close"), 7, mult=1.5, band="upper", atr_d=5)'), want)
-
-
-def test_parabolic_stop(spark):
-    rows = bars(80, seed=9)
-    h, l = ([r[k] for r in rows] for k in (2, 3))
-    up = h[1] + l[1] > h[0] + l[0]
-    stop, ep, af = (l[0], h[0], 0.02) if up else (h[0], l[0], 0.02)
-    want = [stop]
-    for i in range(1, len(h)):
-        nxt = stop + af * (ep - stop)
-        nxt = min(nxt, l[i - 1], l[i]) if up else max(nxt, h[i - 1], h[i])
-        if (h[i] > ep) if up else (l[i] < ep):
-            ep = h[i] if up else l[i]
-            af = min(af + 0.02, 0.2)
-        if (l[i] < nxt) if up else (h[i] > nxt):
-            nxt, ep, af, up = ep, (l[i] if up else h[i]), 0.02, not up
-        stop = nxt
-        want.append(stop)
-    same(run(spark, rows, 'ts_sar(col("high"), col("low"))'), want)
+HLC = 'col("high"), col("low"), col("close")'
+
+
+def of_bars(spark, hlc, expression):
+    """The operator over bars given as (high, low, close)."""
+    return run(spark, [(date(2024, 1, 1) + timedelta(i), "A", *map(float, x)) for i, x in enumerate(hlc)], expression)
+
+
+def test_directional_movement_by_hand(spark):
+    # up moves 1, 2, 0, 0, 3; down moves 0, 0, 1, 2, 0; true ranges 2, 2, 3, 2, 3, 4
+    hlc = [(10, 8, 9), (11, 9, 10), (13, 10, 12), (12, 10, 11), (11, 8, 9), (14, 10, 13)]
+    # smoothed over 2 bars from the second on: plus 0.5, 1.25, 0.625, 0.3125, 1.65625 (and minus likewise) over ranges
+    plus, minus, ranges = [0.5, 1.25, 0.625, 0.3125, 1.65625], [0.0, 0.0, 0.0, 1.0, 0.5], [2.0, 2.5, 2.25, 2.625, 3.8125]
+    same(of_bars(spark, hlc, f"ts_adx({HLC}, 2, line='plus_di')"), [None, *(100 * p / t for p, t in zip(plus, ranges))])
+    same(of_bars(spark, hlc, f"ts_adx({HLC}, 2, line='minus_di')"), [None, *(100 * m / t for m, t in zip(minus, ranges))])
+    dx = [100.0, 100.0, 100.0, 100 * 0.6875 / 1.3125, 100 * 1.15625 / 2.15625]
+    same(of_bars(spark, hlc, f"ts_dx({HLC}, 2)"), [None, *dx])
+    third = 100.0  # the mean of the first two, then half the last and half the new one
+    adx = [third, (third + dx[2]) / 2]
+    adx += [(adx[-1] + dx[3]) / 2]
+    adx += [(adx[-1] + dx[4]) / 2]
+    same(of_bars(spark, hlc, f"ts_adx({HLC}, 2)"), [None, None, *adx])
+    same(of_bars(spark, hlc, f"ts_adxr({HLC}, 2)"), [None, None, None, None, (adx[2] + adx[0]) / 2, (adx[3] + adx[1]) / 2])
+
+
+def test_keltner_by_hand(spark):
+    # typical prices 9, 12, 9; their mean with half weights 9, 10.5, 9.75; true ranges 2, 4, 4: smoothed over 2 bars 3, 3.5
+    hlc = [(10, 8, 9), (13, 11, 12), (10, 8, 9)]
+    same(of_bars(spark, hlc, f'ts_keltner({HLC}, 3, mult=2.0, band="middle", atr_d=2)'), [9.0, 10.5, 9.75])
+    same(of_bars(spark, hlc, f'ts_keltner({HLC}, 3, mult=2.0, band="upper", atr_d=2)'), [None, 16.5, 16.75])
+
+
+def test_parabolic_stop_by_hand(spark):
+    # rising: from the first low 8, by 2 % of the way to 10, but not above a low; then it steps by 4 % and 6 %
+    hlc = [(10, 8, 9), (11, 9, 10), (12, 10, 11), (13, 11, 12), (12, 7, 8), (9, 6, 7)]
+    # 8; min(8 + .02 * 2, 8, 9) = 8; 8 + .04 * 3 = 8.12; 8.12 + .06 * 3.88 = 8.3528; 8.3528 + .08 * 4.6472 = 8.7 is above the low 7, so 7; 7 + .08 * 6 is above the low 6
+    same(of_bars(spark, hlc, 'ts_sar(col("high"), col("low"))'), [8.0, 8.0, 8.12, 8.3528, 7.0, 6.0])
+
+
+def test_parabolic_stop_keeps_its_side(spark):
+    """As it is kept within the bar's own low (or high), the stop stays on the side on which it began."""
+    rows = bars(200, seed=9)
+    stop = run(spark, rows, 'ts_sar(col("high"), col("low"))')
+    rising = rows[1][2] + rows[1][3] > rows[0][2] + rows[0][3]
+    assert all(s <= r[3] + 1e-9 if rising else s >= r[2] - 1e-9 for s, r in zip(stop, rows))
+    assert len({round(s, 9) for s in stop}) > 20
 
 
 def test_one_bar_has_no_stop(spark):
