@@ -1,6 +1,6 @@
 """One form for texts that look the same, by DuckDB inside Arrow partitions.
 
-All rules are one SQL expression, built below from tables of fixed values: line breaks and spaces to
+All rules are one nested SQL query, built below from tables of fixed values: line breaks and spaces to
 one kind each, invisible characters away, compatibility forms (widths, fonts, joined letters) to plain
 ones, look-alike letters of other scripts to Latin, and composed accents (NFC). Case, digits, the number of spaces and
 everything else that can be seen stay.
@@ -9,7 +9,7 @@ everything else that can be seen stay.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import duckdb
@@ -61,19 +61,25 @@ def _compatibility() -> tuple[dict[str, str], dict[str, str]]:
     return one, several
 
 
-def _translation() -> tuple[str, str]:
-    """The characters that become one other character each, and those."""
-    to = dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-")
+def _translations() -> list[dict[str, str]]:
+    """The characters that become one other character each: the common ones, and the compatibility forms."""
     look = {a: b for x in LOOK_ALIKES for a, b in zip(*x)}
-    to |= {c: look.get(plain, plain) for c, plain in _compatibility()[0].items() if c not in to}
-    to |= look
+    common = dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-") | look
     for c in map(chr, range(0x370, 0x530)):  # accented letters whose base looks Latin
         base, *marks = unicodedata.normalize("NFD", c)
         if marks and base in look:
             whole = unicodedata.normalize("NFC", look[base] + "".join(marks))
             if len(whole) == 1:
-                to[c] = whole
-    return "".join(to), "".join(to.values())
+                common[c] = whole
+    return [common, {c: look.get(plain, plain) for c, plain in _compatibility()[0].items() if c not in common}]
+
+
+def _class(chars: Iterable[str]) -> str:
+    """A class of DuckDB's regular expressions of the characters, neighbours as ranges."""
+    codes = sorted(map(ord, chars))
+    starts = [c for i, c in enumerate(codes) if not i or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
 
 
 def _quoted(s: str) -> str:
@@ -81,16 +87,25 @@ def _quoted(s: str) -> str:
 
 
 @cache
-def canonical_sql(column: str) -> str:
-    """The DuckDB expression of column's canonical form."""
+def canonical_from(source: str, column: str) -> str:
+    """A DuckDB subquery: the rows of source, with column in its canonical form.
+
+    Each step runs only over the texts that hold a character of its kind, as few do.
+    """
     several = _compatibility()[1]
-    plain = column
+    joined = column
     for c, letters in several.items():
-        plain = f"replace({plain}, {_quoted(c)}, {_quoted(letters)})"
-    plain = f"CASE WHEN regexp_matches({column}, '[{''.join(several)}]') THEN {plain} ELSE {column} END"  # few texts need the many
-    e = f"regexp_replace(regexp_replace({plain}, '{BREAKS}', chr(10), 'g'), '{INVISIBLE}', '', 'g')"
-    old, new = _translation()
-    return f"nfc_normalize(translate({e}, {_quoted(old)}, {_quoted(new)}))"
+        joined = f"replace({joined}, {_quoted(c)}, {_quoted(letters)})"
+    steps = [
+        (BREAKS, f"regexp_replace({column}, '{BREAKS}', chr(10), 'g')"),
+        (INVISIBLE, f"regexp_replace({column}, '{INVISIBLE}', '', 'g')"),
+        (_class(several), joined),
+        *((_class(t), f"translate({column}, {_quoted(''.join(t))}, {_quoted(''.join(t.values()))})") for t in _translations()),
+        (r"[^\x00-\x{2ff}]", f"nfc_normalize({column})"),  # accents to be joined begin there
+    ]
+    for seen, made in steps:
+        source = f"(SELECT * REPLACE (CASE WHEN regexp_matches({column}, '{seen}') THEN {made} ELSE {column} END AS {column}) FROM {source})"
+    return source
 
 
 _connection = None
@@ -124,14 +139,14 @@ def canonical_text(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     are not carried; repeated rows come out as often as they come in.
     """
     d = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return d.mapInArrow(_map_sql(f"SELECT doc_id, {canonical_sql('text')} AS canonical FROM batch"), "doc_id long, canonical string")
+    return d.mapInArrow(_map_sql(f"SELECT doc_id, text AS canonical FROM {canonical_from('batch', 'text')}"), "doc_id long, canonical string")
 
 
 def _digests(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, stored, look): digests of the text as stored and of its canonical form; only texts with something to see."""
     d = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null and text is not null")
-    sql = f"""SELECT doc_id, unhex(sha256(text)) AS stored, unhex(sha256(canonical)) AS look
-        FROM (SELECT doc_id, text, {canonical_sql("text")} AS canonical FROM batch) WHERE regexp_matches(canonical, '[^\\s]')"""
+    source = canonical_from("(SELECT doc_id, text AS raw, text FROM batch)", "text")
+    sql = f"SELECT doc_id, unhex(sha256(raw)) AS stored, unhex(sha256(text)) AS look FROM {source} WHERE regexp_matches(text, '[^\\s]')"
     return d.mapInArrow(_map_sql(sql), "doc_id long, stored binary, look binary")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.functions.common import cut_lineage, group_count, task_count
-from factorloom.llm.canonical import canonical_sql, run_sql
+from factorloom.llm.canonical import canonical_from, run_sql
 
 # The bases of two running hashes modulo 2^64, odd so that nothing is lost.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -32,9 +32,8 @@ WINDOWS = pa.schema([("id", pa.int64()), ("words", pa.int32()), ("h1", pa.int64(
 WINDOWS_DDL = "id long, words int, h1 long, h2 long, at int"
 
 
-def words_sql(column: str) -> str:
-    """The DuckDB expression of a text's words: the longest runs of letters and digits of its canonical form, lower case."""
-    return f"regexp_extract_all(lower({canonical_sql(column)}), '[\\p{{L}}\\p{{N}}]+')"
+# Fixed value: the longest runs of letters and digits of a canonical text, lower case, in DuckDB.
+WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
 
 
 def windows(words: np.ndarray, length: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -64,7 +63,7 @@ def _slot(h1: np.ndarray) -> np.ndarray:
 
 def _windows_of(df: DataFrame, i: str, text: str, n: int, bits=None) -> DataFrame:
     """WINDOWS of the texts, or of them only those that the broadcast bit map knows."""
-    sql = f"SELECT id, list_transform({words_sql('text')}, lambda w: hash(w)) AS w FROM batch"
+    sql = f"SELECT id, list_transform({WORDS}, lambda w: hash(w)) AS w FROM {canonical_from('batch', 'text')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if bits is None else np.frombuffer(bits.value, np.uint8)

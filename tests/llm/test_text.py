@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from factorloom.llm.canonical import canonical_text, look_alike_classes, look_alike_pairs
-from factorloom.llm.canonical import run_sql
-from factorloom.llm.leakage import leaked_items, matches, tile, windows, words_sql
+from factorloom.llm.canonical import canonical_from, run_sql
+from factorloom.llm.leakage import WORDS, leaked_items, matches, tile, windows
 from factorloom.llm.mixing import mix_sources, pivotal, source_key, token_sizes
 from factorloom.llm.queries import p9_found
 
@@ -184,7 +184,7 @@ def test_leaked_items(spark):
 
 def test_words():
     batch = pa.table({"text": ["It's A_b, 中文2 é!", "...", ""]})
-    assert run_sql(batch, f"SELECT {words_sql('text')} AS w FROM batch")["w"].to_pylist() == [["it", "s", "a", "b", "中文2", "é"], [], []]
+    assert run_sql(batch, f"SELECT {WORDS} AS w FROM {canonical_from('batch', 'text')}")["w"].to_pylist() == [["it", "s", "a", "b", "中文2", "é"], [], []]
 
 
 # mixing
