@@ -162,7 +162,12 @@ def _tiled(t: pa.Table, n: int, least_run: int, least_coverage: float) -> pa.Tab
     doc, item = t["doc_id"].to_numpy(), t["item_id"].to_numpy()
     starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else np.array([], int)
     rows = []
-    for a, b in zip(starts, [*starts[1:], len(doc)]):
+    if not len(doc):
+        return OUT.empty_table()
+    # so many windows of the item meet the document: too few can make neither a run nor, at n words each, the coverage
+    met = np.add.reduceat(pc.list_value_length(t["item_at"]).to_numpy(), starts)
+    maybe = (met >= least_run - n + 1) | (met * n >= least_coverage * t["item_words"].to_numpy()[starts])
+    for a, b in zip(starts[maybe], np.append(starts[1:], len(doc))[maybe]):
         own = t.slice(a, b - a)
         in_doc, in_item = ({h: np.sort(np.asarray(p, np.int64)) for h, p in enumerate(own[c].to_pylist())} for c in ("doc_at", "item_at"))
         tiles = tile(matches(in_doc, in_item, n), n)
