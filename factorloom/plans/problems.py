@@ -112,6 +112,30 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_reasons(spark, d).select("table_name", "source_key", "trade_date", "field").distinct()
 
 
+def p3_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The part of p3_reasons that follows from rules alone: impossible and stuck values, and sizes."""
+    return p3_reasons(spark, d).filter("reason <> 'spike' or field = 'net_return'")
+
+
+_NOT_NAN = lambda c: f"CASE WHEN NOT isnan({c}) THEN {c} END"
+_P3 = f"""
+WITH raw AS (SELECT 'c' AS field, {_UP("ticker")} AS source_key, trade_date, {_NOT_NAN("c")} AS value, false AS idle FROM daily_market_summary
+  UNION ALL SELECT 'v', {_UP("ticker")}, trade_date, {_NOT_NAN("v")}, false FROM daily_market_summary
+  UNION ALL SELECT 'net_return', strategy_id, trade_date, {_NOT_NAN("net_return")}, coalesce(holdings_count = 0, false) FROM backtest_returns),
+own AS (SELECT * FROM (SELECT DISTINCT * FROM raw WHERE source_key IS NOT NULL AND trade_date IS NOT NULL AND (field = 'net_return' OR source_key <> '')) QUALIFY value IS NOT NULL OR count(value) OVER (PARTITION BY field, source_key, trade_date) = 0),
+steps AS (SELECT *, coalesce(isinf(value) OR (field = 'c' AND value <= 0) OR (field = 'v' AND value < 0) OR (field = 'net_return' AND value < -1), false) AS impossible,
+  CASE WHEN value = lag(value) OVER w AND NOT idle AND NOT lag(idle) OVER w THEN 0 ELSE 1 END AS new, row_number() OVER w AS i FROM own WINDOW w AS (PARTITION BY field, source_key ORDER BY trade_date, value NULLS FIRST, idle)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY field, source_key ORDER BY i) AS run FROM steps),
+long AS (SELECT *, count(*) OVER (PARTITION BY field, source_key, run) >= 6 AND value IS NOT NULL AND NOT idle AND NOT impossible AS stuck FROM runs),
+sizes AS (SELECT source_key, median(abs(value)) AS usual FROM own WHERE field = 'net_return' AND value <> 0 AND NOT idle AND NOT isinf(value) AND value >= -1 GROUP BY 1 HAVING count(*) >= 5),
+far AS (SELECT long.*, abs(value) > 10 * usual AS far FROM long JOIN sizes USING (source_key) WHERE field = 'net_return' AND value IS NOT NULL AND NOT idle AND NOT impossible),
+far2 AS (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY i) - row_number() OVER (PARTITION BY source_key, far ORDER BY i) AS island FROM far),
+spikes AS (SELECT * FROM far2 QUALIFY far AND count(*) OVER (PARTITION BY source_key, far, island) <= 2 AND NOT stuck)
+SELECT CASE WHEN field = 'net_return' THEN 'backtest_returns' ELSE 'daily_market_summary' END AS table_name, source_key, trade_date, field, value, reason FROM (
+  SELECT field, source_key, trade_date, value, CASE WHEN impossible THEN 'impossible' ELSE 'stuck' END AS reason FROM long WHERE impossible OR stuck
+  UNION ALL SELECT field, source_key, trade_date, value, 'spike' FROM spikes)"""
+
+
 # 4. one instant per time
 def _raw_times(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The times as received with their source's configuration, and the zones of the sources that have none."""
@@ -224,6 +248,7 @@ QUERIES = {
     "p4_zones": p4_zones,
     "p3_found": p3_found,
     "p3_reasons": p3_reasons,
+    "p3_rules": p3_rules,
     "p2_found": p2_found,
     "p2_per_month": p2_per_month,
     "p5_found": p5_found,
@@ -234,6 +259,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "p3_rules": _P3,
     "p2_found": f"SELECT DISTINCT table_name, record_key, kind FROM ({_P2})",
     "p2_per_month": f"SELECT table_name, left(seen, 7) AS month, kind, count(*) AS records FROM ({_P2}) GROUP BY 1, 2, 3",
     "p5_found": f"SELECT lake_row_id, bar_id FROM ({_P5})",

@@ -408,14 +408,29 @@ def _risk_input(f):
     return f.select("timestamp", "instrument", "value", "trend", F.col("one_step_return").alias("ret"), (F.col("open") * F.col("volume")).alias("cap"))
 
 
-@query("rk_wls")
-def rk_wls(spark, d):
+_CLIPPED = lambda x: f"least(greatest({x}, avg({x}) {CS} - 3 * coalesce(stddev_samp({x}) {CS}, 0)), avg({x}) {CS} + 3 * coalesce(stddev_samp({x}) {CS}, 0))"
+_STANDARD = lambda x: f"({x} - avg({x}) {CS}) / coalesce(nullif(stddev_samp({x}) {CS}, 0), 1)"
+WLS_SQL = f"""{FACTORS_SQL}, rk0 AS (SELECT c2.timestamp, c2.instrument, c2.value AS x1, c2.trend AS x2, c2.one_step_return AS y, q.open * q.volume AS cap FROM c2 JOIN q USING (timestamp, instrument)),
+rk1 AS (SELECT * FROM rk0 WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL AND cap > 0 QUALIFY count(*) {CS} >= 5),
+rk2 AS (SELECT * REPLACE ({_CLIPPED("x1")} AS x1, {_CLIPPED("x2")} AS x2) FROM rk1), rk3 AS (SELECT * REPLACE ({_STANDARD("x1")} AS x1, {_STANDARD("x2")} AS x2), sqrt(cap) AS w FROM rk2),
+rk4 AS (SELECT timestamp, sum(w * x1 * x1) AS a, sum(w * x1 * x2) AS b, sum(w * x2 * x2) AS c, sum(w * x1 * y) AS u, sum(w * x2 * y) AS v FROM rk3 GROUP BY 1),
+rk5 AS (SELECT timestamp, (c * u - b * v) / (a * c - b * b) AS f_value, (a * v - b * u) / (a * c - b * b) AS f_trend FROM rk4),
+fitted AS (SELECT timestamp, instrument, y - x1 * f_value - x2 * f_trend AS residual, f_value, f_trend FROM rk3 JOIN rk5 USING (timestamp))"""
+
+
+def _fitted(spark, d):
     return risk.cross_sectional_wls(_risk_input(_factors(spark, d)), ["value", "trend"], least=5)
 
 
-@query("rk_specific_risk")
+@query("rk_wls", f"WITH {WLS_SQL} SELECT timestamp, instrument, round(residual, 6) AS residual, round(f_value, 6) AS f_value, round(f_trend, 6) AS f_trend FROM fitted")
+def rk_wls(spark, d):
+    return rounded(_fitted(spark, d), "residual", "f_value", "f_trend")
+
+
+@query("rk_specific_risk", f"""WITH {WLS_SQL}, sp AS (SELECT instrument, timestamp, stddev_samp(residual) OVER (PARTITION BY instrument ORDER BY timestamp) AS sd FROM fitted),
+last_day AS (SELECT instrument, sd FROM sp WHERE timestamp = (SELECT max(timestamp) FROM sp)) SELECT instrument, round(pow(coalesce(sd, (SELECT median(sd) FROM last_day), 0), 2), 9) AS specific_var FROM last_day""")
 def rk_specific_risk(spark, d):
-    return risk.specific_risk(rk_wls(spark, d))
+    return rounded(risk.specific_risk(_fitted(spark, d)), "specific_var", digits=9)
 
 
 @query("rk_market_cap", f"WITH {PANEL_SQL}, {_AGG_DAYS}, a AS (SELECT instrument, timestamp, agg_volume FROM ad WHERE instrument <> '') SELECT p.instrument, p.timestamp, round(p.open * agg_volume, 4) AS cap FROM p ASOF LEFT JOIN a ON p.instrument = a.instrument AND p.timestamp >= a.timestamp")
