@@ -26,6 +26,28 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_changes(spark, d).select("file_name", "change", "old_field", "new_field").distinct()
 
 
+def p1_moves(spark: SparkSession, d: str) -> DataFrame:
+    """The changes of p1_found that two files alone decide: fields added, removed and renamed."""
+    return p1_found(spark, d).filter("change <> 'type_changed'")
+
+
+_JSON = "CASE WHEN json_type(v) IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN CAST(CAST(v AS DOUBLE) AS VARCHAR) ELSE json_type(v) || CAST(v AS VARCHAR) END"
+_P1 = f"""
+WITH line AS (SELECT dataset, shard, file_seq AS seq, file_name, record_key, payload FROM raw_files),
+files AS (SELECT dataset, shard, seq, max(file_name) AS file_name, lag(seq) OVER (PARTITION BY dataset, shard ORDER BY seq) AS before FROM line GROUP BY 1, 2, 3),
+field AS (SELECT DISTINCT dataset, shard, seq, record_key, k, json_extract(payload, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(payload)) AS k FROM line WHERE json_type(payload) = 'OBJECT')),
+name AS (SELECT DISTINCT dataset, shard, seq, k FROM field),
+came AS (SELECT f.*, n.k FROM files f JOIN name n ON n.dataset = f.dataset AND n.shard = f.shard AND n.seq = f.seq WHERE f.before IS NOT NULL AND NOT EXISTS (SELECT 1 FROM name o WHERE o.dataset = f.dataset AND o.shard = f.shard AND o.seq = f.before AND o.k = n.k)),
+gone AS (SELECT f.*, o.k FROM files f JOIN name o ON o.dataset = f.dataset AND o.shard = f.shard AND o.seq = f.before WHERE NOT EXISTS (SELECT 1 FROM name n WHERE n.dataset = f.dataset AND n.shard = f.shard AND n.seq = f.seq AND n.k = o.k)),
+val AS (SELECT dataset, shard, seq, record_key, k, {_JSON} AS t FROM field WHERE record_key IS NOT NULL AND json_type(v) <> 'NULL'),
+moved AS (SELECT g.file_name, g.dataset, g.shard, g.seq, g.k AS old_field, c.k AS new_field FROM gone g JOIN came c ON c.dataset = g.dataset AND c.shard = g.shard AND c.seq = g.seq
+  JOIN val a ON a.dataset = g.dataset AND a.shard = g.shard AND a.seq = g.before AND a.k = g.k JOIN val b ON b.dataset = g.dataset AND b.shard = g.shard AND b.seq = g.seq AND b.k = c.k AND b.record_key = a.record_key
+  GROUP BY ALL HAVING bool_and(a.t = b.t))
+SELECT file_name, 'renamed' AS change, old_field, new_field FROM moved
+UNION ALL SELECT file_name, 'removed', k, '' FROM gone g WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.dataset = g.dataset AND m.shard = g.shard AND m.seq = g.seq AND m.old_field = g.k)
+UNION ALL SELECT file_name, 'added', '', k FROM came c WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.dataset = c.dataset AND m.shard = c.shard AND m.seq = c.seq AND m.new_field = c.k)"""
+
+
 def _p1_table(dataset: str):
     return lambda spark, d: consistent_table(read_table(spark, d, "raw_files"), dataset)
 
@@ -240,6 +262,7 @@ FROM grid WINDOW w7 AS (PARTITION BY ticker ORDER BY day ROWS 6 PRECEDING), w30
 QUERIES = {
     "p1_found": p1_found,
     "p1_changes": p1_changes,
+    "p1_moves": p1_moves,
     "p1_income_statement": _p1_table("income_statement"),
     "p1_corp_dividends": _p1_table("corp_dividends"),
     "p1_filing_risk_factors": _p1_table("filing_risk_factors"),
@@ -259,6 +282,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "p1_moves": _P1,
     "p3_rules": _P3,
     "p2_found": f"SELECT DISTINCT table_name, record_key, kind FROM ({_P2})",
     "p2_per_month": f"SELECT table_name, left(seen, 7) AS month, kind, count(*) AS records FROM ({_P2}) GROUP BY 1, 2, 3",

@@ -410,12 +410,13 @@ def _risk_input(f):
 
 _CLIPPED = lambda x: f"least(greatest({x}, avg({x}) {CS} - 3 * coalesce(stddev_samp({x}) {CS}, 0)), avg({x}) {CS} + 3 * coalesce(stddev_samp({x}) {CS}, 0))"
 _STANDARD = lambda x: f"({x} - avg({x}) {CS}) / coalesce(nullif(stddev_samp({x}) {CS}, 0), 1)"
-WLS_SQL = f"""{FACTORS_SQL}, rk0 AS (SELECT c2.timestamp, c2.instrument, c2.value AS x1, c2.trend AS x2, c2.one_step_return AS y, q.open * q.volume AS cap FROM c2 JOIN q USING (timestamp, instrument)),
+_WLS = f"""rk0 AS (SELECT c2.timestamp, c2.instrument, c2.value AS x1, c2.trend AS x2, c2.one_step_return AS y, q.open * q.volume AS cap FROM c2 JOIN q USING (timestamp, instrument)),
 rk1 AS (SELECT * FROM rk0 WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL AND cap > 0 QUALIFY count(*) {CS} >= 5),
 rk2 AS (SELECT * REPLACE ({_CLIPPED("x1")} AS x1, {_CLIPPED("x2")} AS x2) FROM rk1), rk3 AS (SELECT * REPLACE ({_STANDARD("x1")} AS x1, {_STANDARD("x2")} AS x2), sqrt(cap) AS w FROM rk2),
 rk4 AS (SELECT timestamp, sum(w * x1 * x1) AS a, sum(w * x1 * x2) AS b, sum(w * x2 * x2) AS c, sum(w * x1 * y) AS u, sum(w * x2 * y) AS v FROM rk3 GROUP BY 1),
 rk5 AS (SELECT timestamp, (c * u - b * v) / (a * c - b * b) AS f_value, (a * v - b * u) / (a * c - b * b) AS f_trend FROM rk4),
 fitted AS (SELECT timestamp, instrument, y - x1 * f_value - x2 * f_trend AS residual, f_value, f_trend FROM rk3 JOIN rk5 USING (timestamp))"""
+WLS_SQL = f"{FACTORS_SQL}, {_WLS}"
 
 
 def _fitted(spark, d):
@@ -427,8 +428,11 @@ def rk_wls(spark, d):
     return rounded(_fitted(spark, d), "residual", "f_value", "f_trend")
 
 
-@query("rk_specific_risk", f"""WITH {WLS_SQL}, sp AS (SELECT instrument, timestamp, stddev_samp(residual) OVER (PARTITION BY instrument ORDER BY timestamp) AS sd FROM fitted),
-last_day AS (SELECT instrument, sd FROM sp WHERE timestamp = (SELECT max(timestamp) FROM sp)) SELECT instrument, round(pow(coalesce(sd, (SELECT median(sd) FROM last_day), 0), 2), 9) AS specific_var FROM last_day""")
+_SPECIFIC = """sp AS (SELECT instrument, timestamp, stddev_samp(residual) OVER (PARTITION BY instrument ORDER BY timestamp) AS sd FROM fitted),
+last_day AS (SELECT instrument, sd FROM sp WHERE timestamp = (SELECT max(timestamp) FROM sp)), spec AS (SELECT instrument, pow(coalesce(sd, (SELECT median(sd) FROM last_day), 0), 2) AS specific_var FROM last_day)"""
+
+
+@query("rk_specific_risk", f"WITH {WLS_SQL}, {_SPECIFIC} SELECT instrument, round(specific_var, 9) AS specific_var FROM spec")
 def rk_specific_risk(spark, d):
     return rounded(risk.specific_risk(_fitted(spark, d)), "specific_var", digits=9)
 
@@ -447,10 +451,22 @@ def _model(spark, d):
     return f, fitted, risk.factor_covariance(fitted)[1]
 
 
-@query("rk_total_risk")
+TOTAL_SQL = f"""{HOLD_SQL}, {_WLS}, {_SPECIFIC}, fr AS (SELECT timestamp, max(f_value) AS a, max(f_trend) AS b FROM fitted GROUP BY 1),
+fw AS (SELECT *, pow(0.5, (count(*) OVER () - row_number() OVER (ORDER BY timestamp)) / 63.0) AS w0 FROM fr), fn AS (SELECT *, w0 / sum(w0) OVER () AS w FROM fw),
+fx AS (SELECT timestamp, (a - sum(w * a) OVER ()) * sqrt(w) AS a, (b - sum(w * b) OVER ()) * sqrt(w) AS b FROM fn),
+fl AS (SELECT a, b, lag(a, 1) OVER o AS a1, lag(b, 1) OVER o AS b1, lag(a, 2) OVER o AS a2, lag(b, 2) OVER o AS b2 FROM fx WINDOW o AS (ORDER BY timestamp)),
+cv AS (SELECT sum(a * a) + 4 / 3.0 * sum(a * a1) + 2 / 3.0 * sum(a * a2) AS aa, sum(b * b) + 4 / 3.0 * sum(b * b1) + 2 / 3.0 * sum(b * b2) AS bb, sum(a * b) + 2 / 3.0 * (sum(a * b1) + sum(b * a1)) + 1 / 3.0 * (sum(a * b2) + sum(b * a2)) AS ab FROM fl),
+tr0 AS (SELECT hold.timestamp, weight, coalesce(c2.value, 0) AS x, coalesce(c2.trend, 0) AS z, coalesce(specific_var, median(specific_var) OVER (PARTITION BY hold.timestamp), 0) AS sv
+  FROM hold LEFT JOIN c2 ON c2.timestamp = hold.timestamp AND c2.instrument = hold.instrument LEFT JOIN spec ON spec.instrument = hold.instrument),
+tr1 AS (SELECT timestamp, sum(weight * x) AS x, sum(weight * z) AS z, sum(weight * weight * sv) AS specific_var FROM tr0 GROUP BY 1),
+tr2 AS (SELECT timestamp, x * x * aa + 2 * x * z * ab + z * z * bb AS factor_var, specific_var FROM tr1, cv)"""
+
+
+@query("rk_total_risk", f"WITH {TOTAL_SQL} SELECT timestamp, round(factor_var, 9) AS factor_var, round(specific_var, 9) AS specific_var, round(sqrt((factor_var + specific_var) * 252), 6) AS annual_risk FROM tr2")
 def rk_total_risk(spark, d):
     f, fitted, cov = _model(spark, d)
-    return risk.total_risk(_holdings(spark, d, f), f.select("timestamp", "instrument", "value", "trend"), ["value", "trend"], cov, risk.specific_risk(fitted))
+    out = risk.total_risk(_holdings(spark, d, f), f.select("timestamp", "instrument", "value", "trend"), ["value", "trend"], cov, risk.specific_risk(fitted))
+    return rounded(rounded(out, "annual_risk"), "factor_var", "specific_var", digits=9)
 
 
 @query("rk_optimize")
