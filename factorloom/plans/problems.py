@@ -189,6 +189,32 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_times(spark, d).filter("utc_micros is not null").select("record_id", "utc_micros")
 
 
+def p4_epochs(spark: SparkSession, d: str) -> DataFrame:
+    """The times that came as numbers, in whatever unit."""
+    return p4_times(spark, d).filter("time_form = 'epoch'").select("record_id", "utc_micros")
+
+
+def p4_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """The times that begin with the year and end with an offset or Z, whose source's zone doesn't matter."""
+    stated = F.col("raw_value").rlike(r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})\s*$")
+    own = read_table(spark, d, "raw_times").filter(stated).select("record_id")
+    return p4_found(spark, d).join(own, "record_id")
+
+
+_EPOCH_UNIT = lambda u, sql: f"WHEN x >= {946_684_800 * u} AND x < {2_051_222_400 * u} THEN {sql}"
+_P4_EPOCHS = f"""
+WITH n AS (SELECT record_id, {_TRIM.format("raw_value")} AS s FROM raw_times), x AS (SELECT record_id, TRY_CAST(s AS DECIMAL(38, 18)) AS x FROM n
+  WHERE regexp_full_match(s, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') AND NOT regexp_full_match(s, '[0-9]{{8}}')),
+y AS (SELECT record_id, x, CAST(floor(x) AS HUGEINT) AS whole, x - floor(x) AS rest FROM x)
+SELECT record_id, utc_micros FROM (SELECT record_id, CAST(CASE {_EPOCH_UNIT(1, "whole * 1000000 + floor(rest * 1000000)")} {_EPOCH_UNIT(1_000, "whole * 1000 + floor(rest * 1000)")}
+  {_EPOCH_UNIT(1_000_000, "whole")} {_EPOCH_UNIT(1_000_000_000, "whole // 1000")} END AS BIGINT) AS utc_micros FROM y) WHERE utc_micros IS NOT NULL"""
+_P4_OFFSETS = f"""
+WITH n AS (SELECT record_id, {_TRIM.format("raw_value")} AS s FROM raw_times), p AS (SELECT record_id, regexp_extract(s, '^([0-9]{{4}})-([0-9]{{2}})-([0-9]{{2}})[T ]([0-9]{{2}}):([0-9]{{2}}):([0-9]{{2}})(?:\\.([0-9]+))?(Z|[+-][0-9]{{2}}:[0-9]{{2}})$', ['y', 'm', 'd', 'h', 'i', 's', 'f', 'z']) AS g FROM n),
+t AS (SELECT record_id, g.z AS z, g.f AS f, CAST(g.s AS INT) AS sec, TRY_CAST(g.y || '-' || g.m || '-' || g.d AS DATE) AS day, CAST(g.h AS INT) AS h, CAST(g.i AS INT) AS i FROM p WHERE g.y <> '')
+SELECT record_id, epoch_us(CAST(day AS TIMESTAMP)) + (h * 3600 + i * 60 + sec) * 1000000::BIGINT + CAST(rpad(left(f, 6), 6, '0') AS BIGINT)
+  - CASE WHEN z = 'Z' THEN 0 ELSE (CASE WHEN z[1] = '-' THEN -1 ELSE 1 END) * (CAST(z[2:3] AS BIGINT) * 60 + CAST(z[5:6] AS BIGINT)) * 60000000 END AS utc_micros FROM t WHERE day IS NOT NULL AND h < 24 AND i < 60 AND sec < 60"""
+
+
 # 5. the nearest bar of each factor value
 def _nearest_bars(spark: SparkSession, d: str, **how: int) -> DataFrame:
     lake, bars = read_table(spark, d, "factor_lake"), read_table(spark, d, "daily_market_summary")
@@ -269,6 +295,8 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_times": p4_times,
     "p4_zones": p4_zones,
+    "p4_epochs": p4_epochs,
+    "p4_offsets": p4_offsets,
     "p3_found": p3_found,
     "p3_reasons": p3_reasons,
     "p3_rules": p3_rules,
@@ -284,6 +312,8 @@ QUERIES = {
 ORACLE_SQL = {
     "p1_moves": _P1,
     "p3_rules": _P3,
+    "p4_epochs": _P4_EPOCHS,
+    "p4_offsets": _P4_OFFSETS,
     "p2_found": f"SELECT DISTINCT table_name, record_key, kind FROM ({_P2})",
     "p2_per_month": f"SELECT table_name, left(seen, 7) AS month, kind, count(*) AS records FROM ({_P2}) GROUP BY 1, 2, 3",
     "p5_found": f"SELECT lake_row_id, bar_id FROM ({_P5})",
