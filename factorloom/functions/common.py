@@ -94,7 +94,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not folder:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -161,6 +161,30 @@ def check_positions(df: DataFrame, column: str = "target_position") -> DataFrame
     return bad.withColumn("_", F.lit(1)).join(twice.withColumn("_", F.lit(1)), "_").drop("_")
 
 
+def valid_targets(targets: DataFrame, column: str = "target_position", *, strict: bool = True, bounds: bool = True) -> DataFrame:
+    """timestamp, instrument and column, a missing value being the one before it, or 0 at first.
+
+    A repeated key is a ValueError; so is, with bounds, a value beyond 1 in size, which is cut to it
+    instead if not strict.
+    """
+    c = F.col(column).cast("double")
+    known = F.when(~F.isnan(c), c)
+    state = targets.agg(F.count(F.when(F.abs(known) > 1, 1)).alias("n")).first().n if bounds and strict else 0
+    if state:
+        raise ValueError(f"{state} values of {column} are beyond 1 in size")
+    if targets.groupBy(TS, INST).count().filter("count > 1").limit(1).count():
+        raise ValueError("a key has several rows")
+    filled = F.coalesce(F.last(known, ignorenulls=True).over(W().rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
+    return targets.select(TS, INST, (F.greatest(F.least(filled, F.lit(1.0)), F.lit(-1.0)) if bounds else filled).alias(column))
+
+
+def align_targets(targets: DataFrame, bars: DataFrame, column: str = "target_position") -> DataFrame:
+    """timestamp, instrument and column for each bar: the target at its very time, else the last bar's, 0 at first."""
+    df = bars.select(TS, INST).join(targets.select(TS, INST, column), [TS, INST], "left")
+    filled = F.last(column, ignorenulls=True).over(W().rowsBetween(Window.unboundedPreceding, 0))
+    return df.select(TS, INST, F.coalesce(filled, F.lit(0.0)).alias(column))
+
+
 @kernel("_executed_weight", "@target, @cap, min_trade")
 def _executed_weight(target, cap, min_trade):
     """The weight that is held after each bar: small trades are skipped, large ones cut to the bar's cap (NaN: none)."""

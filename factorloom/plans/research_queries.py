@@ -423,7 +423,7 @@ def _fitted(spark, d):
     return risk.cross_sectional_wls(_risk_input(_factors(spark, d)), ["value", "trend"], least=5)
 
 
-@query("rk_wls", f"WITH {WLS_SQL} SELECT timestamp, instrument, round(residual, 6) AS residual, round(f_value, 6) AS f_value, round(f_trend, 6) AS f_trend FROM fitted")
+@query("rk_wls", f"WITH {WLS_SQL} SELECT timestamp, instrument, round(residual, 6) + 0.0 AS residual, round(f_value, 6) + 0.0 AS f_value, round(f_trend, 6) + 0.0 AS f_trend FROM fitted")
 def rk_wls(spark, d):
     return rounded(_fitted(spark, d), "residual", "f_value", "f_trend")
 
@@ -432,12 +432,12 @@ _SPECIFIC = """sp AS (SELECT instrument, timestamp, stddev_samp(residual) OVER (
 last_day AS (SELECT instrument, sd FROM sp WHERE timestamp = (SELECT max(timestamp) FROM sp)), spec AS (SELECT instrument, pow(coalesce(sd, (SELECT median(sd) FROM last_day), 0), 2) AS specific_var FROM last_day)"""
 
 
-@query("rk_specific_risk", f"WITH {WLS_SQL}, {_SPECIFIC} SELECT instrument, round(specific_var, 9) AS specific_var FROM spec")
+@query("rk_specific_risk", f"WITH {WLS_SQL}, {_SPECIFIC} SELECT instrument, round(specific_var, 9) + 0.0 AS specific_var FROM spec")
 def rk_specific_risk(spark, d):
     return rounded(risk.specific_risk(_fitted(spark, d)), "specific_var", digits=9)
 
 
-@query("rk_market_cap", f"WITH {PANEL_SQL}, {_AGG_DAYS}, a AS (SELECT instrument, timestamp, agg_volume FROM ad WHERE instrument <> '') SELECT p.instrument, p.timestamp, round(p.open * agg_volume, 4) AS cap FROM p ASOF LEFT JOIN a ON p.instrument = a.instrument AND p.timestamp >= a.timestamp")
+@query("rk_market_cap", f"WITH {PANEL_SQL}, {_AGG_DAYS}, a AS (SELECT instrument, timestamp, agg_volume FROM ad WHERE instrument <> '') SELECT p.instrument, p.timestamp, round(p.open * agg_volume, 4) + 0.0 AS cap FROM p ASOF LEFT JOIN a ON p.instrument = a.instrument AND p.timestamp >= a.timestamp")
 def rk_market_cap(spark, d):
     prices = daily_panel(spark, d).select("timestamp", "instrument", F.col("open").alias("price"))
     out = risk.market_cap(prices, _agg_panel(spark, d).withColumnRenamed("volume", "free_float"))
@@ -462,7 +462,7 @@ tr1 AS (SELECT timestamp, sum(weight * x) AS x, sum(weight * z) AS z, sum(weight
 tr2 AS (SELECT timestamp, x * x * aa + 2 * x * z * ab + z * z * bb AS factor_var, specific_var FROM tr1, cv)"""
 
 
-@query("rk_total_risk", f"WITH {TOTAL_SQL} SELECT timestamp, round(factor_var, 9) AS factor_var, round(specific_var, 9) AS specific_var, round(sqrt((factor_var + specific_var) * 252), 6) AS annual_risk FROM tr2")
+@query("rk_total_risk", f"WITH {TOTAL_SQL} SELECT timestamp, round(factor_var, 9) + 0.0 AS factor_var, round(specific_var, 9) + 0.0 AS specific_var, round(sqrt((factor_var + specific_var) * 252), 6) + 0.0 AS annual_risk FROM tr2")
 def rk_total_risk(spark, d):
     f, fitted, cov = _model(spark, d)
     out = risk.total_risk(_holdings(spark, d, f), f.select("timestamp", "instrument", "value", "trend"), ["value", "trend"], cov, risk.specific_risk(fitted))
@@ -575,14 +575,14 @@ s1 AS (SELECT *, CASE WHEN count(g) OVER c >= 20 THEN stddev_samp(g) OVER c END
 ms AS (SELECT instrument, timestamp, rn, {_SQUASH("g", "sd")} AS signal FROM s1)"""
 
 
-@query("sa_dual_ma", f"WITH {PANEL_SQL}, {MA_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal FROM ms")
+@query("sa_dual_ma", f"WITH {PANEL_SQL}, {MA_SQL} SELECT instrument, timestamp, round(signal, 6) + 0.0 AS signal FROM ms")
 def sa_dual_ma(spark, d):
     return rounded(single_asset.dual_ma_signal(_bars(spark, d), price="price"), "signal")
 
 
 @query("sa_macd_signal", f"""WITH RECURSIVE {PANEL_SQL}, {ema_sql([("f", "open", "(2.0 / 13)"), ("s", "open", "(2.0 / 27)"), ("g", "f - s", "(2.0 / 10)")])}, h AS (SELECT *, f - s - g AS h FROM e),
 h1 AS (SELECT *, CASE WHEN count(h) OVER c >= 26 THEN stddev_samp(h) OVER c END AS sd FROM h WINDOW c AS (PARTITION BY instrument ORDER BY timestamp ROWS 51 PRECEDING))
-SELECT instrument, timestamp, round({_SQUASH("h", "sd")}, 6) AS signal FROM h1""")
+SELECT instrument, timestamp, round({_SQUASH("h", "sd")}, 6) + 0.0 AS signal FROM h1""")
 def sa_macd_signal(spark, d):
     return rounded(single_asset.macd_signal(_bars(spark, d), price="price"), "signal")
 
@@ -619,7 +619,7 @@ tp AS (SELECT instrument, timestamp, rn, coalesce(lag(v) {W}, 0) AS signal, coal
 POSITION_SQL = f"{PANEL_SQL}, {MA_SQL}, mv AS (SELECT *, signal AS v FROM ms), {_machine_sql('mv', '0.3', '0.1', '-0.3', '-0.1', '1.0')}"
 
 
-@query("sa_rsi_signal", f"WITH RECURSIVE {RSI_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal FROM rs")
+@query("sa_rsi_signal", f"WITH RECURSIVE {RSI_SQL} SELECT instrument, timestamp, round(signal, 6) + 0.0 AS signal FROM rs")
 def sa_rsi_signal(spark, d):
     return rounded(single_asset.rsi_signal(_bars(spark, d), price="price"), "signal")
 
@@ -627,7 +627,7 @@ def sa_rsi_signal(spark, d):
 _Z60 = lambda x: f"CASE WHEN count({x}) OVER k >= 30 THEN ({x} - avg({x}) OVER k) / greatest(stddev_samp({x}) OVER k, 1e-8) END"
 
 
-@query("sa_factor_signal", f"WITH {BASE_SQL} SELECT instrument, timestamp, round(tanh({_Z60('value')} / 1.5 - {_Z60('trend')} * 0.5 / 1.5), 6) AS signal FROM b0 WINDOW k AS (PARTITION BY instrument ORDER BY timestamp ROWS 59 PRECEDING)")
+@query("sa_factor_signal", f"WITH {BASE_SQL} SELECT instrument, timestamp, round(tanh({_Z60('value')} / 1.5 - {_Z60('trend')} * 0.5 / 1.5), 6) + 0.0 AS signal FROM b0 WINDOW k AS (PARTITION BY instrument ORDER BY timestamp ROWS 59 PRECEDING)")
 def sa_factor_signal(spark, d):
     return rounded(single_asset.factor_signal(bars_with_returns(spark, d), {"value": 1.0, "trend": -0.5}), "signal")
 
@@ -637,7 +637,7 @@ def _two_signals(spark, d):
     return {"ma": single_asset.dual_ma_signal(b, price="price"), "rsi": single_asset.rsi_signal(b, price="price")}
 
 
-@query("sa_combined", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL} SELECT ms.instrument, ms.timestamp, round(tanh(coalesce(ms.signal, 0) * 2 / 3.0 + coalesce(rs.signal, 0) / 3.0), 6) AS signal FROM ms JOIN rs USING (instrument, timestamp)")
+@query("sa_combined", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL} SELECT ms.instrument, ms.timestamp, round(tanh(coalesce(ms.signal, 0) * 2 / 3.0 + coalesce(rs.signal, 0) / 3.0), 6) + 0.0 AS signal FROM ms JOIN rs USING (instrument, timestamp)")
 def sa_combined(spark, d):
     return rounded(single_asset.combine_signals(_two_signals(spark, d), {"ma": 2, "rsi": 1}), "signal")
 
@@ -645,13 +645,13 @@ def sa_combined(spark, d):
 _PR = lambda x: f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY instrument ORDER BY {x} NULLS LAST) + (count({x}) OVER (PARTITION BY instrument, {x}) - 1) / 2.0) / count({x}) OVER (PARTITION BY instrument) * 2 - 1 END"
 
 
-@query("sa_rank_average", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL}, b AS (SELECT ms.instrument, ms.timestamp, round(ms.signal, 9) AS m, round(rs.signal, 9) AS x FROM ms JOIN rs USING (instrument, timestamp)) SELECT instrument, timestamp, round(tanh({_PR('m')} * 2 / 3.0 + {_PR('x')} / 3.0), 6) AS signal FROM b")
+@query("sa_rank_average", f"WITH RECURSIVE {RSI_SQL}, {MA_SQL}, b AS (SELECT ms.instrument, ms.timestamp, round(ms.signal, 9) + 0.0 AS m, round(rs.signal, 9) + 0.0 AS x FROM ms JOIN rs USING (instrument, timestamp)) SELECT instrument, timestamp, round(tanh({_PR('m')} * 2 / 3.0 + {_PR('x')} / 3.0), 6) + 0.0 AS signal FROM b")
 def sa_rank_average(spark, d):
     signals = {n: rounded(s, "signal", digits=9) for n, s in _two_signals(spark, d).items()}
     return rounded(single_asset.combine_signals(signals, {"ma": 2, "rsi": 1}, "rank_avg"), "signal")
 
 
-@query("sa_threshold_positions", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, target_position, action FROM tp")
+@query("sa_threshold_positions", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, round(signal, 6) + 0.0 AS signal, target_position, action FROM tp")
 def sa_threshold_positions(spark, d):
     return rounded(_positions(spark, d), "signal")
 
@@ -665,13 +665,13 @@ mv AS (SELECT at2.instrument, at2.timestamp, at2.rn, ms.signal AS v, 0.5 * k AS
 {_machine_sql('mv', 'le', 'lx', 'se', 'sx', 'size')}"""
 
 
-@query("sa_atr_positions", f"WITH RECURSIVE {ATR_SQL} SELECT instrument, timestamp, round(signal, 6) AS signal, round(target_position, 6) AS target_position, action FROM tp")
+@query("sa_atr_positions", f"WITH RECURSIVE {ATR_SQL} SELECT instrument, timestamp, round(signal, 6) + 0.0 AS signal, round(target_position, 6) + 0.0 AS target_position, action FROM tp")
 def sa_atr_positions(spark, d):
     b = _bars(spark, d)
     return rounded(single_asset.atr_positions(b, single_asset.dual_ma_signal(b, price="price"), short=True), "signal", "target_position")
 
 
-@query("sa_debounce", f"WITH RECURSIVE {POSITION_SQL}, db AS (SELECT *, lag(target_position) {W} AS b, row_number() {W} AS k FROM tp) SELECT instrument, timestamp, round(signal, 6) AS signal, target_position, action FROM db WHERE k = 1 OR b <> target_position")
+@query("sa_debounce", f"WITH RECURSIVE {POSITION_SQL}, db AS (SELECT *, lag(target_position) {W} AS b, row_number() {W} AS k FROM tp) SELECT instrument, timestamp, round(signal, 6) + 0.0 AS signal, target_position, action FROM db WHERE k = 1 OR b <> target_position")
 def sa_debounce(spark, d):
     return rounded(single_asset.debounce(_positions(spark, d)), "signal")
 
@@ -694,7 +694,7 @@ ac AS (SELECT instrument, timestamp, rn, 1e5::DOUBLE AS cash, 0.0::DOUBLE AS sha
       FROM ac JOIN ai ON ai.instrument = ac.instrument AND ai.rn = ac.rn + 1)))"""
 
 
-@query("sa_backtest", f"WITH RECURSIVE {ACCOUNT_SQL} SELECT instrument, timestamp, round(equity, 4) AS equity, round(equity / nullif(lag(equity) {W}, 0) - 1, 6) AS period_return FROM ac")
+@query("sa_backtest", f"WITH RECURSIVE {ACCOUNT_SQL} SELECT instrument, timestamp, round(equity, 4) + 0.0 AS equity, round(equity / nullif(lag(equity) {W}, 0) - 1, 6) + 0.0 AS period_return FROM ac")
 def sa_backtest(spark, d):
     df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "open", F.col("price").alias("close")), ["timestamp", "instrument"])
     return rounded(rounded(single_asset.single_asset_backtest(df), "period_return"), "equity", digits=4)
@@ -706,8 +706,8 @@ lg3 AS (SELECT instrument, trade, min(timestamp) AS entry, max(timestamp) AS exi
 lg4 AS (SELECT *, CASE WHEN entry_price > 0 THEN entry_price END AS e FROM lg3)"""
 
 
-@query("sa_trade_ledger", f"""WITH RECURSIVE {LEDGER_SQL} SELECT instrument, entry, exit, side, bars, entry_price, exit_price, round((exit_price / nullif(entry_price, 0) - 1) * side, 6) AS trade_return,
-  round(greatest(CASE WHEN side > 0 THEN hi / e - 1 ELSE e / greatest(lo, 1e-12) - 1 END, 0), 6) AS mfe, round(least(CASE WHEN side > 0 THEN lo / e - 1 ELSE e / greatest(hi, 1e-12) - 1 END, 0), 6) AS mae FROM lg4""")
+@query("sa_trade_ledger", f"""WITH RECURSIVE {LEDGER_SQL} SELECT instrument, entry, exit, side, bars, entry_price, exit_price, round((exit_price / nullif(entry_price, 0) - 1) * side, 6) + 0.0 AS trade_return,
+  round(greatest(CASE WHEN side > 0 THEN hi / e - 1 ELSE e / greatest(lo, 1e-12) - 1 END, 0), 6) + 0.0 AS mfe, round(least(CASE WHEN side > 0 THEN lo / e - 1 ELSE e / greatest(hi, 1e-12) - 1 END, 0), 6) + 0.0 AS mae FROM lg4""")
 def sa_trade_ledger(spark, d):
     df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "price", "high", "low"), ["timestamp", "instrument"])
     return rounded(single_asset.trade_ledger(df, price="price"), "trade_return", "mfe", "mae")
@@ -727,13 +727,13 @@ def _execution(spark, d):
     return single_asset.multi_asset_backtest(_holdings(spark, d).withColumnRenamed("weight", "target_weight"), bars, adv_share=0.3, impact="square")
 
 
-@query("sa_multi_asset_weights", f"WITH RECURSIVE {EXEC_SQL} SELECT instrument, timestamp, round(weight, 6) AS weight FROM exw")
+@query("sa_multi_asset_weights", f"WITH RECURSIVE {EXEC_SQL} SELECT instrument, timestamp, round(weight, 6) + 0.0 AS weight FROM exw")
 def sa_multi_asset_weights(spark, d):
     return rounded(_execution(spark, d)[0], "weight")
 
 
-@query("sa_multi_asset_returns", f"""WITH RECURSIVE {EXEC_SQL} SELECT timestamp, round(gross_return, 6) AS gross_return, round(turnover, 6) AS turnover, round(impact_cost, 6) AS impact_cost, round(participation, 6) AS participation, round(gross_leverage, 6) AS gross_leverage,
-  round(turnover * 0.0005 + impact_cost, 6) AS cost, round(gross_return - turnover * 0.0005 - impact_cost, 6) AS net_return FROM exd""")
+@query("sa_multi_asset_returns", f"""WITH RECURSIVE {EXEC_SQL} SELECT timestamp, round(gross_return, 6) + 0.0 AS gross_return, round(turnover, 6) + 0.0 AS turnover, round(impact_cost, 6) + 0.0 AS impact_cost, round(participation, 6) + 0.0 AS participation, round(gross_leverage, 6) + 0.0 AS gross_leverage,
+  round(turnover * 0.0005 + impact_cost, 6) + 0.0 AS cost, round(gross_return - turnover * 0.0005 - impact_cost, 6) + 0.0 AS net_return FROM exd""")
 def sa_multi_asset_returns(spark, d):
     out = _execution(spark, d)[1].drop("nav")
     return rounded(out, *[c for c in out.columns if c != "timestamp"])
@@ -749,9 +749,9 @@ fg2 AS (SELECT *, pow(1 + total, coalesce(y, 252) / bars) - 1 AS annual, coalesc
 _PER = lambda a, b: f"CASE WHEN abs({b}) > 1e-12 THEN {a} / {b} ELSE 0 END"
 
 
-@query("sa_figures", f"""WITH RECURSIVE {FIGURES_SQL} SELECT instrument, bars, round(total, 6) AS total_return, round(annual, 6) AS annual_return, round(coalesce(sd * sqrt(yy), 0), 6) AS volatility, round({_PER("annual", "coalesce(sd * sqrt(yy), 0)")}, 5) AS sharpe, round(dd, 6) AS max_drawdown, round(turnover, 6) AS turnover,
-  round(coalesce(down * sqrt(yy), 0), 6) AS downside_volatility, round({_PER("annual", "dd")} * -1 + 0.0, 5) AS calmar, round(coalesce(hits, 0), 6) AS hit_rate_bar, round(coalesce(low, 0), 6) AS var_95, round({_PER("coalesce(high, 0)", "abs(coalesce(low, 0))")}, 5) AS tail_ratio, round(coalesce(inside, 0), 6) AS time_in_market,
-  round(coalesce(exposure, 0), 6) AS exposure, round(coalesce(ulcer, 0), 6) AS ulcer_index, round(coalesce(mean_dd, 0), 6) AS avg_drawdown, round({_PER("coalesce(up, 0)", "coalesce(lost, 0)")}, 5) AS omega_ratio, round(turnover / bars * yy, 5) AS turnover_annualized FROM fg2""")
+@query("sa_figures", f"""WITH RECURSIVE {FIGURES_SQL} SELECT instrument, bars, round(total, 6) + 0.0 AS total_return, round(annual, 6) + 0.0 AS annual_return, round(coalesce(sd * sqrt(yy), 0), 6) + 0.0 AS volatility, round({_PER("annual", "coalesce(sd * sqrt(yy), 0)")}, 5) + 0.0 AS sharpe, round(dd, 6) + 0.0 AS max_drawdown, round(turnover, 6) + 0.0 AS turnover,
+  round(coalesce(down * sqrt(yy), 0), 6) + 0.0 AS downside_volatility, round({_PER("annual", "dd")} * -1 + 0.0, 5) + 0.0 AS calmar, round(coalesce(hits, 0), 6) + 0.0 AS hit_rate_bar, round(coalesce(low, 0), 6) + 0.0 AS var_95, round({_PER("coalesce(high, 0)", "abs(coalesce(low, 0))")}, 5) + 0.0 AS tail_ratio, round(coalesce(inside, 0), 6) + 0.0 AS time_in_market,
+  round(coalesce(exposure, 0), 6) + 0.0 AS exposure, round(coalesce(ulcer, 0), 6) + 0.0 AS ulcer_index, round(coalesce(mean_dd, 0), 6) + 0.0 AS avg_drawdown, round({_PER("coalesce(up, 0)", "coalesce(lost, 0)")}, 5) + 0.0 AS omega_ratio, round(turnover / bars * yy, 5) + 0.0 AS turnover_annualized FROM fg2""")
 def sa_figures(spark, d):
     df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "open", F.col("price").alias("close")), ["timestamp", "instrument"])
     account = single_asset.single_asset_backtest(df).join(df.select("timestamp", "instrument", F.col("target_position").alias("position")), ["timestamp", "instrument"])
@@ -763,9 +763,38 @@ def sa_figures(spark, d):
 
 @query("sa_trade_figures", f"""WITH RECURSIVE {LEDGER_SQL}, tg0 AS (SELECT instrument, entry, bars, coalesce((exit_price / nullif(entry_price, 0) - 1) * side, 0) AS x, row_number() OVER (PARTITION BY instrument ORDER BY entry) AS i FROM lg4),
 tg1 AS (SELECT *, i - coalesce(max(CASE WHEN x >= 0 THEN i END) OVER (PARTITION BY instrument ORDER BY i), 0) AS run FROM tg0)
-SELECT instrument, count(*) AS trades, round(avg((x > 0)::INT), 6) AS win_rate_trade, max(run) AS max_consecutive_losses, round(avg(bars), 6) AS avg_holding_period_bars, round(avg((x > 0)::INT) * coalesce(avg(x) FILTER (WHERE x > 0), 0) + (1 - avg((x > 0)::INT)) * coalesce(avg(x) FILTER (WHERE x < 0), 0), 6) AS expectancy,
-  round({_PER("coalesce(sum(x) FILTER (WHERE x > 0), 0)", "coalesce(sum(x) FILTER (WHERE x < 0), 0)")} * -1 + 0.0, 6) AS profit_factor FROM tg1 GROUP BY 1""")
+SELECT instrument, count(*) AS trades, round(avg((x > 0)::INT), 6) + 0.0 AS win_rate_trade, max(run) AS max_consecutive_losses, round(avg(bars), 6) + 0.0 AS avg_holding_period_bars, round(avg((x > 0)::INT) * coalesce(avg(x) FILTER (WHERE x > 0), 0) + (1 - avg((x > 0)::INT)) * coalesce(avg(x) FILTER (WHERE x < 0), 0), 6) + 0.0 AS expectancy,
+  round({_PER("coalesce(sum(x) FILTER (WHERE x > 0), 0)", "coalesce(sum(x) FILTER (WHERE x < 0), 0)")} * -1 + 0.0, 6) + 0.0 AS profit_factor FROM tg1 GROUP BY 1""")
 def sa_trade_figures(spark, d):
     df = _positions(spark, d).join(_bars(spark, d).select("timestamp", "instrument", "price", "high", "low"), ["timestamp", "instrument"])
     out = account_figures.trade_figures(single_asset.trade_ledger(df, price="price"))
     return rounded(out.select("instrument", "trades", "win_rate_trade", "max_consecutive_losses", "avg_holding_period_bars", "profit_factor", "expectancy"), "win_rate_trade", "avg_holding_period_bars", "profit_factor", "expectancy")
+
+
+@query("sa_align", f"WITH RECURSIVE {POSITION_SQL} SELECT instrument, timestamp, target_position FROM tp")
+def sa_align(spark, d):
+    """The changes of position alone, brought back to all bars: the positions again."""
+    changes = single_asset.debounce(_positions(spark, d))
+    return single_asset.align_targets(single_asset.valid_targets(changes), _bars(spark, d)).select("instrument", "timestamp", "target_position")
+
+
+_LABEL = "CASE WHEN t >= 930 AND t < 1000 THEN 'OPEN' WHEN t >= 1000 AND t < 1530 THEN 'MID' WHEN t >= 1530 AND t < 1600 THEN 'CLOSE' ELSE 'OFF' END"
+
+
+@query("in_status_ic", f"""WITH {PREP_SQL}, v AS (SELECT instrument, date, {_LABEL} AS status, factor_eval AS x, target_eval AS y FROM (SELECT *, hour(timestamp) * 100 + minute(timestamp) AS t FROM pp) WHERE factor_eval IS NOT NULL AND target_eval IS NOT NULL),
+rk AS (SELECT *, {prank("x", "instrument, status, date")} AS rx, {prank("y", "instrument, status, date")} AS ry FROM v)
+SELECT instrument, status, date, round(covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0), 6) + 0.0 AS ic, round(covar_pop(rx, ry) / nullif(stddev_pop(rx) * stddev_pop(ry), 0), 6) + 0.0 AS rank_ic, count(*) AS n FROM rk GROUP BY 1, 2, 3 HAVING count(*) >= 5""")
+def in_status_ic(spark, d):
+    """Daily correlations per part of the session."""
+    df = _prepared(spark, d).withColumn("status", minute.session_label(F.col("timestamp")))
+    return rounded(minute.daily_ic(df, "factor_eval", "target_eval", least=5, keys=("instrument", "status", "date")), "ic", "rank_ic")
+
+
+STATUS_SQL = f"""{GROUP_SQL}, gs AS (SELECT gr.*, {_LABEL} AS status FROM (SELECT *, hour(timestamp) * 100 + minute(timestamp) AS t FROM gr) gr)"""
+
+
+@query("in_status_returns", f"WITH {STATUS_SQL} SELECT instrument, status, g AS \"group\", round(pow(1 + avg(target_eval), 1.0 / 3) - 1, 6) + 0.0 AS avg_single_period_ret FROM gs WHERE g IS NOT NULL AND target_eval IS NOT NULL GROUP BY 1, 2, 3")
+def in_status_returns(spark, d):
+    """Mean returns of the factor's groups per part of the session."""
+    df = _grouped(spark, d).withColumn("status", minute.session_label(F.col("timestamp")))
+    return rounded(minute.layered_returns(df, "target_eval", 3, keys=("instrument", "status")), "avg_single_period_ret")

@@ -282,3 +282,16 @@ def test_account_figures_of_odd_tables(spark):
     got = {r.instrument: r for r in account_figures.account_figures(df, profile="standard").collect()}
     assert got["A"].bars == 1 and got["A"].total_return == 0 and got["B"].total_return == 0
     assert account_figures.account_figures(df.limit(0)).count() == 0
+
+
+def test_targets_are_checked(spark):
+    rows = [(D[0], "A", None), (D[1], "A", 0.5), (D[2], "A", float("nan")), (D[3], "A", -3.0)]
+    p = tiny(spark, rows, "target_position double")
+    with pytest.raises(ValueError):
+        single_asset.valid_targets(p)
+    with pytest.raises(ValueError):
+        single_asset.valid_targets(p.union(p), strict=False)
+    assert values(single_asset.valid_targets(p, strict=False), "target_position") == [0, 0.5, 0.5, -1]
+    assert values(single_asset.valid_targets(p, bounds=False), "target_position") == [0, 0.5, 0.5, -3]
+    few = tiny(spark, rows[1:2], "target_position double")
+    assert values(single_asset.align_targets(few, p.select("timestamp", "instrument")), "target_position") == [0, 0.5, 0.5, 0.5]
