@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorloom.functions.common import cut_lineage, group_count, task_count
+from factorloom.functions.common import broadcast_if_small, cut_lineage, group_count, task_count
 
 TILE, HALO, BLOCK = 512, 128, 512
 FLAG_AT = 3.0  # standardised innovation beyond which a value is flagged
@@ -35,6 +35,7 @@ LEAST_SCALE = 1e-9  # stands for the usual move of a source that never moves
 GATE = 0.9  # candidates of kind 'size' begin at this part of the bound in the exact rule
 LEAST_STEPS = 5  # a source with fewer moves (or sizes) has no usual one
 SLICE = 7  # leading characters of a day that make a slice: a month
+SLICE_ROWS = 1_000_000  # a month of more records is cut into its days
 ACCURACY = 100_000  # of the sketch of usual moves; it is exact for sources of fewer moves
 
 
@@ -244,7 +245,7 @@ def _median(step: Column) -> tuple[Column, Column]:
     return both[0], both[1]
 
 
-def implausible_values(records: DataFrame, measures: dict[str, Measure], *, width: int = TILE) -> DataFrame:
+def implausible_values(records: DataFrame, measures: dict[str, Measure], *, width: int = TILE, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(measure, source, day, value, reason) of the values that cannot be real.
 
     records has measure, source, day (string or date, gives the order), value (double) and idle
@@ -254,11 +255,16 @@ def implausible_values(records: DataFrame, measures: dict[str, Measure], *, widt
     two different values of a source and day are two successive records, the smaller first. A source
     with fewer than six values has no usual move and so no spikes. The usual move (or size) is the
     median over the whole source, without those of 0 if that is 0. width, the records in a tile, sets
-    the work of a cell and changes no row.
+    the work of a cell and changes no row; neither does slice_rows. Only the records of one source and
+    day are numbered in one task, however many they are.
     """
     rows = records.select("measure", "source", F.col("day").cast("string").alias("day"), F.when(~F.isnan("value"), F.col("value")).alias("value"), F.coalesce("idle", F.lit(False)).alias("idle"))
     rows = rows.filter(F.col("measure").isin(list(measures))).dropna(subset=["source", "day"]).withColumn("slice", F.substring("day", 1, SLICE))
     keys = ["measure", "source", "slice"]
+    crowded = rows.groupBy(*keys).count().filter(F.col("count") > slice_rows).select(*keys, F.lit(True).alias("crowded"))  # at most records / slice_rows rows
+    crowded = cut_lineage(crowded)
+    if crowded.limit(1).count():
+        rows = rows.join(broadcast_if_small(crowded), keys, "left").withColumn("slice", F.when(F.col("crowded"), F.col("day")).otherwise(F.col("slice"))).drop("crowded")
     rows = rows.repartition(*keys).distinct().sortWithinPartitions(*keys, "day", "value", "idle")  # one exchange and one sort serve all that is done by slice
     # a null beside a value of the same source and day is a poorer copy of it
     rows = rows.withColumn("known", F.count("value").over(Window.partitionBy(*keys, "day"))).filter("known = 0 or value is not null").drop("known")

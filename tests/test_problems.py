@@ -230,6 +230,8 @@ def test_spikes_do_not_depend_on_tiles(spark):
     df = spark.createDataFrame(series("c", c), "measure string, source string, day string, value double, idle boolean, pos int")
     rows = [sorted((r.day, r.reason) for r in implausible_values(df, MEASURES, width=w).collect()) for w in (64, 512, 4096)]
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) >= 20
+    days = sorted((r.day, r.reason) for r in implausible_values(df, MEASURES, slice_rows=28).collect())  # months of 29 days and more are cut
+    assert days == rows[0]
 
 
 def test_net_return_of_a_table_against_plain_reading(spark):
