@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorloom.functions.common import broadcast_if_small, cut_lineage
@@ -147,22 +147,34 @@ def metrics(returns: DataFrame, keys: Sequence[str], *, order: str = "timestamp"
     return df.groupBy(*keys).agg(*aggs).withColumn("calmar", F.when(F.abs("max_drawdown") >= 1e-12, F.col("annual_return") / F.abs("max_drawdown")))
 
 
+def upper_bits(c: Column) -> Column:
+    """The upper 26 bits of a double's fraction, rounded: the product of two such numbers is exact."""
+    return F.when(F.abs(c) < 1e300, c * 134217729.0 - (c * 134217729.0 - c)).otherwise(c)  # 2^27 + 1
+
+
 def against_benchmark(returns: DataFrame, benchmark: DataFrame, keys: Sequence[str], *, order: str = "timestamp", net: str = "net_return", per_year: int = 252) -> DataFrame:
     """Per key: excess return, tracking error, information ratio, excess sharpe, beta and alpha.
 
-    benchmark: order column and benchmark_return; a day it lacks counts 0.
+    benchmark: order column and benchmark_return; a day it lacks counts 0. beta and alpha come from what a first
+    slope leaves of the returns: a mean less beta times the other would keep only the digits that the greatest
+    returns leave (alpha of the benchmark itself would be 1e-4 or 0 by the order of rows, for a return of 1e12).
     """
     keys = list(keys)
     b = benchmark.groupBy(order).agg(F.max("benchmark_return").alias("b"))
     df = returns.select(*keys, order, F.col(net).alias("r")).filter("r is not null and not isnan(r)").join(broadcast_if_small(b), order, "left").na.fill(0.0, ["b"])
     df = df.withColumn("x", F.col("r") - F.col("b"))
+    part, high_b = Window.partitionBy(*keys), upper_bits(F.col("b"))
+    var = F.var_samp("b").over(part)
+    df = df.withColumn("_k", F.when(var >= 1e-12, F.try_divide(F.covar_samp("r", "b").over(part), var)))
+    df = df.withColumn("_k", F.coalesce(F.when(F.abs("_k") < float("inf"), upper_bits(F.col("_k"))), F.lit(0.0)))
+    df = df.withColumn("_rest", F.col("r") - F.col("_k") * high_b - F.col("_k") * (F.col("b") - high_b))  # both products are exact
     n, year = F.count("*"), float(per_year) ** 0.5
     nav = F.product(1 + F.col("x"))
     te = F.stddev_samp("x") * year
     annual = F.when(nav > 0, F.pow(nav, per_year / n) - 1)
-    beta = F.when((n > 2) & (F.var_samp("b") >= 1e-12), F.try_divide(F.covar_samp("r", "b"), F.var_samp("b")))
+    slope = F.when((n > 2) & (F.var_samp("b") >= 1e-12), F.try_divide(F.covar_samp("_rest", "b"), F.var_samp("b")))
     return df.groupBy(*keys).agg(
         (F.product(1 + F.col("b")) - 1).alias("benchmark_total_return"), (nav - 1).alias("excess_total_return"), annual.alias("excess_annual_return"), te.alias("tracking_error"),
         F.when(te > 1e-12, annual / te).alias("information_ratio"), F.when(F.stddev_samp("x") >= 1e-12, F.avg("x") / F.stddev_samp("x") * year).alias("excess_sharpe"),
-        beta.alias("beta"), ((F.avg("r") - beta * F.avg("b")) * per_year).alias("alpha"),
+        (F.max("_k") + slope).alias("beta"), ((F.avg("_rest") - slope * F.avg("b")) * per_year).alias("alpha"),
     )

@@ -1,6 +1,7 @@
 """The language, the compiler, sources, the lake, alignment, composition and portfolios on small fixtures."""
 
 from datetime import date, datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -241,6 +242,32 @@ def test_metrics_of_every_net_return(spark):
         assert got.total_return[key] == pytest.approx((1 + own).prod() - 1, abs=1e-6, rel=1e-6)
 
 
+def test_benchmark_figures_in_any_order(spark):
+    """Against exact fractions, on returns some of which are far greater than the rest."""
+    rng = np.random.default_rng(3)
+    days = [date(2024, 1, 1) + timedelta(i) for i in range(60)]
+    b = rng.normal(0, 0.02, 60)
+    b[[7, 31]] = 1e12, -1.2e11
+    near, apart = b.copy(), rng.normal(0, 0.02, 60)
+    near[40] += 0.25
+    series = {"own": b, "near": near, "twice": 2 * b, "against": -0.7 * b + apart, "apart": apart}
+    own = [Fraction(x) for x in b.tolist()]
+    mb = sum(own) / 60
+    want = {}
+    for name, r in series.items():
+        r = [Fraction(x) for x in r.tolist()]
+        beta = sum((x - mb) * y for x, y in zip(own, r)) / sum((x - mb) ** 2 for x in own)
+        want[name] = float(beta), float((sum(r) / 60 - beta * mb) * 252)
+    assert want["own"] == (1, 0) == (want["twice"][0] - 1, want["twice"][1]) and abs(want["near"][1]) > 1
+    rows = [(name, days[i], float(x)) for name, r in series.items() for i, x in enumerate(r)]
+    for parts in (1, 2, 3, 5):
+        order = rng.permutation(len(rows))
+        returns = spark.createDataFrame([rows[i] for i in order], "strategy_id string, timestamp date, net_return double").repartition(parts)
+        bench = spark.createDataFrame(list(zip(days, b.tolist())), "timestamp date, benchmark_return double")
+        for r in portfolio.against_benchmark(returns, bench, ["strategy_id"]).collect():
+            assert (r.beta, r.alpha) == pytest.approx(want[r.strategy_id], rel=1e-9, abs=1e-7), (parts, r.strategy_id)
+
+
 def test_queries_meet_the_columns_as_they_are(spark):
     d = "/root/testdata/sf0.01"
     p = factor_queries.daily_panel(spark, d).select("instrument", "timestamp", "high", "low", "close", "volume").toPandas().sort_values(["instrument", "timestamp"])
